@@ -20,6 +20,13 @@ EVENT_REQUEST_TYPE = (("click", "support"), ("view", "facturation"), ("purchase"
 PRIORITY_BOUNDS = ((5, "low"), (20, "medium"), (60, "high"))
 
 
+def zero_padded(prefix: str, number, width: int) -> F.Column:
+    """``prefix`` + the number left-padded with zeros to ``width`` digits;
+    longer numbers are kept whole, never cut."""
+    digits = F.col(number).cast("string") if isinstance(number, str) else number.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -41,8 +48,8 @@ def tickets_from_events(events: DataFrame, keep=()) -> DataFrame:
     priority = priority.otherwise("urgent")
     return events.select(
         *keep,
-        F.format_string("T%010d", F.col("event_id")).alias("ticket_id"),
-        F.format_string("C%05d", F.col("user_id")).alias("client_id"),
+        zero_padded("T", "event_id", 10).alias("ticket_id"),
+        zero_padded("C", "user_id", 5).alias("client_id"),
         F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         F.col("props").alias("request"),
         request_type.alias("request_type"),
