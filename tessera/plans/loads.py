@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.quality import clean_for_warehouse
 from tessera.schemas import DEFAULT_TABLE
-from tessera.sinks.tables import append_columnar, replace_table
+from tessera.sinks.tables import append_columnar, loadable, replace_table
 from tessera.sources.files import load_parquet_exports
 
 
@@ -25,15 +25,16 @@ def _counted(df: DataFrame, name: str):
 def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> int | None:
     """Returns the number of rows written, or None when nothing was written."""
     df = load_parquet_exports(spark, parquet_dir)  # S3, S6
-    counted, obs = _counted(df, "relational_load")
-    if not replace_table(counted, path=path, jdbc=jdbc, table=table):  # C10, C11, K6
+    if not loadable(df):  # C10, C11
         return None
+    counted, obs = _counted(df, "relational_load")
+    replace_table(counted, path=path, jdbc=jdbc, table=table, guard=False)  # K6
     return obs.get["rows"]
 
 
 def load_columnar(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> int:
     """Returns the number of rows appended."""
     clean = clean_for_warehouse(load_parquet_exports(spark, parquet_dir))  # S3, S6, C8
-    counted, obs = _counted(clean, "columnar_load")
-    append_columnar(counted, path=path, jdbc=jdbc, table=table)  # O5, K7
+    obs = Observation("columnar_load")
+    append_columnar(clean, path=path, jdbc=jdbc, table=table, observation=obs)  # O5, K7
     return obs.get["rows"]

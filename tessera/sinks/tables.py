@@ -8,7 +8,8 @@ folder (for example under the shared folder of the cluster).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tessera.operators.layout import sort_for_storage
 from tessera.operators.quality import has_key_column, is_empty
@@ -24,14 +25,28 @@ def _jdbc_writer(df: DataFrame, jdbc: dict, table: str):
     return df.write.format("jdbc").options(**options)
 
 
-def replace_table(df: DataFrame, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE, truncate: bool = True) -> bool:
+def loadable(df: DataFrame) -> bool:
+    """C10 + C11: the table has a key column and at least one row."""
+    return has_key_column(df) and not is_empty(df)
+
+
+def replace_table(
+    df: DataFrame,
+    *,
+    path: str | None = None,
+    jdbc: dict | None = None,
+    table: str = DEFAULT_TABLE,
+    truncate: bool = True,
+    guard: bool = True,
+) -> bool:
     """K6: replace the table with ``df`` as it is (no cleaning).
 
     Nothing is written when ``df`` is empty (C10) or lacks ``ticket_id``
     (C11); returns whether a write happened. Write errors propagate.
     ``truncate`` keeps the JDBC table definition instead of dropping it.
+    ``guard=False`` skips the checks when the caller has made them.
     """
-    if not has_key_column(df) or is_empty(df):
+    if guard and not loadable(df):
         return False
     if jdbc:
         _jdbc_writer(df, jdbc, table).option("truncate", str(truncate).lower()).mode("overwrite").save()
@@ -51,15 +66,20 @@ def append_columnar(
     order_column: str = "created_at",
     columns=ENRICHED_FIELDS,
     table_options: str = COLUMNAR_TABLE_OPTIONS,
+    observation: Observation | None = None,
 ) -> None:
     """K7: create the table if absent, then append ``df``.
 
     Columns are selected by name first, so the insert never depends on the
     input's column order. Rows are range-partitioned and sorted on
     ``order_column`` (O5) before the write, so each appended file covers one
-    slice of it.
+    slice of it. ``observation`` collects the written row count; it sits
+    above the range exchange, so the partitioner's sampling pass is not
+    counted.
     """
     ordered = sort_for_storage(df.select(*columns), order_column)
+    if observation is not None:
+        ordered = ordered.observe(observation, F.count(F.lit(1)).alias("rows"))
     if jdbc:
         _jdbc_writer(ordered, jdbc, table).option("createTableOptions", table_options).mode("append").save()
     elif path:
