@@ -72,26 +72,36 @@ def crosstab(df: DataFrame, index: str = "assigned_team", columns: str = "priori
     """A4: rows = index values, one count column per value of ``columns``, zero-filled.
 
     Rows whose index or column value is null are left out, so a team whose
-    priorities are all null does not appear. ``values=None`` uses the values
-    present in the data, alphabetically (one extra pass over the column);
-    pass a fixed list for a stable schema.
+    priorities are all null does not appear.
+
+    ``values`` given: one aggregation, a fixed output schema.
+    ``values=None``: the values present in the data, alphabetically. The big
+    input is still scanned once: its long form (one row per pair present) is
+    aggregated and checkpointed to the shared folder, and both the value list
+    and the pivot come from that small table.
     """
-    if values is None:
-        values = pivot_values(df, index, columns)
-    values = list(values)
-    pivoted = (
-        df.where(F.col(index).isNotNull() & F.col(columns).isNotNull())
-        .groupBy(index)
-        .pivot(columns, values)
-        .agg(F.count(F.lit(1)))
-    )
+    if values is not None:
+        values = list(values)
+        pivoted = (
+            df.where(F.col(index).isNotNull() & F.col(columns).isNotNull())
+            .groupBy(index)
+            .pivot(columns, values)
+            .agg(F.count(F.lit(1)))
+        )
+        return pivoted.na.fill(0, subset=values) if values else pivoted
+    long = crosstab_long(df, index, columns).checkpoint(eager=True)
+    values = pivot_values(long, index, columns)
+    pivoted = long.groupBy(index).pivot(columns, values).agg(F.sum("n"))
     return pivoted.na.fill(0, subset=values) if values else pivoted
 
 
+def _bad_date(column: str) -> F.Column:
+    return F.col(column).isNotNull() & text_to_timestamp(column, "lenient").isNull()
+
+
 def rejected_dates(df: DataFrame, column: str = "created_at") -> int:
     """Rows whose time text is set but does not parse."""
-    row = df.agg(F.count_if(F.col(column).isNotNull() & text_to_timestamp(column, "lenient").isNull()).alias("bad")).first()
-    return int(row.bad)
+    return int(df.agg(F.count_if(_bad_date(column)).alias("bad")).first().bad)
 
 
 def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "lenient") -> DataFrame | None:
@@ -100,12 +110,22 @@ def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "leni
     ``lenient``: text that does not parse is left out (count it with
     ``rejected_dates``). ``strict``: such text fails the job. ``skip``: as
     the original analysis, any such text means no series at all (returns
-    None) while the rest of the job carries on; costs one extra pass.
+    None) while the rest of the job carries on. In ``skip`` mode the
+    rejected rows are counted in the same aggregation as the days (they form
+    the null-day group), and that small result is checkpointed, so the input
+    is scanned once.
     """
     if mode == "skip":
-        if rejected_dates(df, column) > 0:
+        day = calendar_day(text_to_timestamp(column, "lenient")).alias("day")
+        counted = (
+            df.select(day, _bad_date(column).alias("bad"))
+            .groupBy("day")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"))
+            .checkpoint(eager=True)
+        )
+        if counted.agg(F.sum("bad")).first()[0]:
             return None
-        mode = "lenient"
+        return counted.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
     ts = text_to_timestamp(column, mode)
     return (
         df.select(calendar_day(ts).alias("day"))

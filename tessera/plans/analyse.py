@@ -2,14 +2,17 @@
 
 Plan at scale:
 
-1. One shuffle: the distinct rows with their copy counts (``row_copies``),
-   written once as a table in the job's output folder. That cuts the lineage
-   (a lost executor later re-reads files instead of redoing the shuffle) and
-   every later output is a scan of it.
-2. From that table, without another shuffle of the raw rows: the audit
-   (C9), the null report (C3-C5) and the cleaned rows (C6).
-3. The cleaned rows are written once (CSV, K4); the reports are small
-   aggregations of them (A1-A5, A8) written as chart tables (K10) and text (K5).
+1. One shuffle: the distinct rows with their copy counts (``row_copies``)
+   and a ``complete`` flag (no null in the row), written once as a table
+   partitioned by that flag. That cuts the lineage (a lost executor later
+   re-reads files instead of redoing the shuffle) and every later output is
+   a scan of it.
+2. One aggregation over that table gives the audit (C9) and the null
+   report (C3-C5) together.
+3. The cleaned rows (C6) are the ``complete=true`` partition: each report
+   reads only those files and only its own columns. The rows are written
+   once as CSV (K4); the reports are small aggregations (A1-A5, A8) written
+   as chart tables (K10) and text (K5).
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.tickets import text_to_timestamp
 from tessera.operators.metrics import crosstab, distribution_summary, rejected_dates, tickets_by_priority, tickets_per_day
-from tessera.operators.quality import COPIES, affected_columns, complete_row, null_counts, require_columns, row_copies
+from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
 from tessera.sources.files import load_exports
 
@@ -50,18 +53,22 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1
     columns = raw.columns
 
-    row_copies(raw).write.mode("overwrite").parquet(f"{out}/distinct_rows")  # C2, one shuffle
+    row_copies(raw).withColumn("complete", complete_row(columns)).write.mode("overwrite").partitionBy("complete").parquet(
+        f"{out}/distinct_rows"
+    )  # C2, one shuffle
     distinct = spark.read.parquet(f"{out}/distinct_rows")
+    is_complete = F.col("complete").cast("string") == "true"  # partition values come back as text
 
-    audit_row = distinct.agg(
+    stats = distinct.agg(
         F.sum(COPIES).cast("long").alias("loaded"),
         F.count(F.lit(1)).alias("deduplicated"),
-        F.count_if(complete_row(columns)).alias("complete"),
+        F.count_if(is_complete).alias("complete"),
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)],
     ).first()
-    audit = audit_row.asDict()
-    report = {r.column_name: r.nulls for r in affected_columns(null_counts(distinct.select(*columns))).collect()}
+    audit = {k: stats[k] for k in ("loaded", "deduplicated", "complete")}
+    report = {c: stats[f"nulls_{i}"] for i, c in enumerate(columns) if stats[f"nulls_{i}"] > 0}
 
-    clean = distinct.where(complete_row(columns)).select(*columns)  # C6
+    clean = distinct.where(is_complete).select(*columns)  # C6, prunes to complete=true files
     result = AnalysisResult(audit=audit, null_report=report)
     if audit["complete"] == 0:  # C10: nothing left to analyse
         return result

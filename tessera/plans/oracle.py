@@ -166,6 +166,24 @@ FROM clean""",
     "sorted_table_range": _with(
         _DIRTY, "SELECT * FROM clean WHERE created_at >= '2024-01-10' AND created_at < '2024-01-12'"
     ),
+    "analyse_csv": _with(
+        _DIRTY,
+        """SELECT ticket_id, client_id,
+       coalesce(strftime(TRY_CAST(created_at AS TIMESTAMP), '%Y-%m-%d %H:%M:%S'), created_at) AS created_at,
+       request, request_type, priority, assigned_team
+FROM clean""",
+    ),
+    "analyse_by_day": _with(_DIRTY, f"SELECT {_DAY} AS day, count(*) AS n FROM clean WHERE {_DAY} IS NOT NULL GROUP BY 1"),
+    "analyse_team_priority": _with(
+        _DIRTY,
+        """SELECT assigned_team,
+       count(*) FILTER (WHERE priority = 'critical') AS critical,
+       count(*) FILTER (WHERE priority = 'high') AS high,
+       count(*) FILTER (WHERE priority = 'low') AS low,
+       count(*) FILTER (WHERE priority = 'medium') AS medium,
+       count(*) FILTER (WHERE priority = 'urgent') AS urgent
+FROM clean GROUP BY assigned_team""",
+    ),
     "dashboard_sql": _with(
         _TICKETS,
         f"""SELECT assigned_team, {_DAY} AS day, count(*) AS n FROM routed

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.operators import layout, metrics, quality
 from tessera.operators.transform import enrich_messages, parse_messages
 from tessera.plans import fixtures as fx
-from tessera.plans.analyse import csv_ready
+from tessera.plans.analyse import analyse, csv_ready
 from tessera.plans.dashboard import dashboard_query
 from tessera.plans.loads import load_columnar, load_relational
 from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS
@@ -242,6 +242,32 @@ def q_sorted_table_range(spark, sf):
     return table.where((F.col("created_at") >= "2024-01-10") & (F.col("created_at") < "2024-01-12")).select(*ENRICHED_FIELDS)
 
 
+# --- the analysis job (J2) ------------------------------------------------------------
+
+
+def _analysed(spark, sf, name):
+    root = scratch_path(spark, name)
+    export = _exported_dirty(spark, sf, root)
+    return analyse(spark, export, f"{root}/json", f"{root}/out", date_mode="lenient")
+
+
+def q_analyse_csv(spark, sf):
+    """J2 end to end; the cleaned CSV export read back."""
+    result = _analysed(spark, sf, "analyse_csv")
+    return file_sinks.read_csv(spark, result.paths["csv"], ENRICHED_SCHEMA)
+
+
+def q_analyse_by_day(spark, sf):
+    """J2 end to end; the daily chart table read back."""
+    return spark.read.parquet(_analysed(spark, sf, "analyse_by_day").paths["by_day"])
+
+
+def q_analyse_team_priority(spark, sf):
+    """J2 end to end; the team x priority chart table (priorities present,
+    the unknown ``critical`` included) read back."""
+    return spark.read.parquet(_analysed(spark, sf, "analyse_team_priority").paths["team_priority"])
+
+
 # --- SQL and reports -----------------------------------------------------------------
 
 
@@ -288,6 +314,9 @@ QUERIES = {
     "relational_replace": q_relational_replace,
     "columnar_append": q_columnar_append,
     "sorted_table_range": q_sorted_table_range,
+    "analyse_csv": q_analyse_csv,
+    "analyse_by_day": q_analyse_by_day,
+    "analyse_team_priority": q_analyse_team_priority,
     "dashboard_sql": q_dashboard_sql,
     "summary_text": q_summary_text,
 }
