@@ -78,9 +78,13 @@ def load_exports(spark: SparkSession, parquet_dir: str, json_dir: str, schema=EN
     Raises ``NoDataError`` (a ``FileNotFoundError``) when neither folder holds
     a data file; a missing folder counts as empty here, as the original
     loader creates both folders before looking.
+
+    Both formats are read with the explicit ticket schema: no footer-merging
+    pass over every Parquet file, and a column absent from some files is
+    still null there. Partition folders (``batch_id=N``) are dropped.
     """
     if has_data_files(spark, parquet_dir, "*.parquet"):
-        return read_parquet_dir(spark, parquet_dir).select(*[F.col(f.name) for f in schema.fields])
+        return spark.read.schema(schema).parquet(parquet_dir).select(*[F.col(f.name) for f in schema.fields])
     if has_data_files(spark, json_dir, "*.json"):
         return read_json_dir(spark, json_dir, schema)
     raise NoDataError(f"no .parquet file in {parquet_dir} and no .json file in {json_dir}")
