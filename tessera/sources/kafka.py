@@ -13,12 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.schemas import DEFAULT_TOPIC, MESSAGE_LOG_SCHEMA
 
 
-def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest", extra=None) -> dict:
+def kafka_options(
+    bootstrap_servers: str,
+    topic: str = DEFAULT_TOPIC,
+    starting_offsets: str = "latest",
+    extra=None,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> dict:
     """Reader options for a topic.
 
     ``latest``: new messages only (the export). ``earliest``: replay the whole
     topic; remembered progress then lives in the query's checkpoint, not in a
-    consumer group.
+    consumer group. ``max_offsets_per_trigger`` bounds a micro-batch (a
+    backlog is split into several batches instead of one huge one);
+    ``min_partitions`` splits topic partitions into more Spark tasks when the
+    topic has fewer partitions than the cluster has cores.
     """
     if not bootstrap_servers:
         raise ValueError("bootstrap_servers is required")
@@ -28,6 +38,10 @@ def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_o
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "true",
     }
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     options.update(extra or {})
     return options
 
