@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench: local mode, UI off, adaptive execution on."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.streaming.forceDeleteTempCheckpointLocation", "true")
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_shared_dir(spark)

@@ -15,7 +15,14 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="*", shuffle_partitions=8, app="tessera-tests")
+    # The event log (in a fresh scratch folder) lets tests read shuffle volumes.
+    events = tempfile.mkdtemp(prefix="tessera-eventlog-")
+    session = local_session(
+        cores="*",
+        shuffle_partitions=8,
+        app="tessera-tests",
+        extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": events, "spark.eventLog.compress": "false"},
+    )
     yield session
     session.stop()
 
