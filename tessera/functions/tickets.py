@@ -62,6 +62,17 @@ def text_to_timestamp(text="created_at", mode: str = "lenient") -> Column:
     raise ValueError(f"unknown date mode {mode!r}")
 
 
+def timestamp_text(ts, separator: str = " ") -> Column:
+    """``yyyy-MM-dd<separator>HH:mm:ss`` text of a ``timestamp_ntz`` value.
+
+    Built from the value's own text form rather than ``date_format``, which
+    passes the wall-clock time through the session time zone and so shifts
+    times that fall in a daylight-saving gap there.
+    """
+    text = _col(ts).cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit(separator), F.substring(text, 12, 8))
+
+
 def calendar_day(ts) -> Column:
     """Calendar date of a timestamp (P10)."""
     return F.to_date(_col(ts))

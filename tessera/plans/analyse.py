@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import text_to_timestamp
+from tessera.functions.tickets import text_to_timestamp, timestamp_text
 from tessera.operators.metrics import crosstab, distribution_summary, rejected_dates, tickets_per_day
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
@@ -44,7 +44,7 @@ def csv_ready(clean: DataFrame, date_mode: str) -> DataFrame:
     if date_mode == "skip" and rejected_dates(clean) > 0:
         return clean
     ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
-    formatted = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    formatted = timestamp_text(ts, " ")
     return clean.withColumn("created_at", F.coalesce(formatted, F.col("created_at")))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.tickets import timestamp_text
 from tessera.operators.transform import assign_team, encode_messages
 from tessera.schemas import ENRICHED_FIELDS, MESSAGE_FIELDS
 
@@ -50,7 +51,7 @@ def tickets_from_events(events: DataFrame, keep=()) -> DataFrame:
         *keep,
         zero_padded("T", "event_id", 10).alias("ticket_id"),
         zero_padded("C", "user_id", 5).alias("client_id"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+        timestamp_text("ts", "T").alias("created_at"),
         F.col("props").alias("request"),
         request_type.alias("request_type"),
         priority.alias("priority"),

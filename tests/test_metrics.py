@@ -89,3 +89,23 @@ def test_preview_is_top_k(spark, sf01):
 def test_row_and_file_counts(spark, sf01):
     r = row_and_file_counts(fx.read_table(spark, sf01, "events")).first()
     assert (r.n_rows, r.n_files) == (10000, 1)
+
+
+def test_time_text_ignores_session_zone(spark):
+    import datetime as dt
+
+    from tessera.plans.analyse import csv_ready
+
+    events = spark.createDataFrame(
+        [(1, dt.datetime(2024, 3, 10, 2, 30, 5), 7, "click", 1.0, "{}")],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there that day
+    try:
+        ticket = fx.tickets_from_events(events).first()
+        assert ticket.created_at == "2024-03-10T02:30:05"
+        exported = csv_ready(fx.tickets_from_events(events), "lenient").first()
+        assert exported.created_at == "2024-03-10 02:30:05"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
