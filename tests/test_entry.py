@@ -22,7 +22,7 @@ def test_every_query_has_oracle():
 
 
 @pytest.fixture(scope="module")
-def duck(sf001=None):
+def duck():
     con = duckdb.connect()
     path = "/root/testdata/sf0.001/events.parquet"
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}')")

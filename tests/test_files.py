@@ -5,7 +5,6 @@ import os
 import shutil
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import distribution_summary, union_by_name
 from tessera.plans import fixtures as fx
@@ -121,4 +120,3 @@ def test_summary_text_in_order(spark, sf01, scratch):
     assert lines[6] == "Types de requêtes :"
     assert "Équipes assignées :" in lines
     assert lines[-1] == ""
-    assert F is not None

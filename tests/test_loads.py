@@ -5,6 +5,7 @@ in this environment, so only their option handling is checked here.
 """
 
 import glob
+import os
 
 import pyarrow.parquet as pq
 import pytest
@@ -36,10 +37,8 @@ def test_relational_guards(spark, scratch):
     keyless = spark.createDataFrame([("x",)], "request string")
     assert replace_table(keyless, path=f"{scratch}/t2") is False
     assert not glob.glob(f"{scratch}/t1") and not glob.glob(f"{scratch}/t2")
+    os.makedirs(f"{scratch}/no-files")
     with pytest.raises(NoDataError):
-        import os
-
-        os.makedirs(f"{scratch}/no-files")
         load_relational(spark, f"{scratch}/no-files", path=f"{scratch}/t3")
 
 

@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 from pyspark.sql.utils import CapturedException
 
 from tessera.operators import assign_team, clean_for_warehouse, distinct_rows, encode_messages, enrich_messages, parse_messages
@@ -86,4 +85,3 @@ def test_transform_is_a_projection(spark, corpus):
     assert "Exchange" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert set(enrich_messages(corpus).columns) == set(ENRICHED_FIELDS)
-    assert F is not None
