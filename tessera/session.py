@@ -48,12 +48,20 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """Return the shared folder; create a local one only when none is set."""
+    """Return the shared folder; create a local one only when none is set.
+
+    The local fallback is for single-machine runs (tests, the bench). On a
+    cluster ``spark.checkpoint.dir`` names a distributed folder and is used
+    as it is.
+    """
     existing = _checkpoint_dir(spark)
     if existing:
         return existing
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+    except Exception:  # no SparkContext in this client (Spark Connect)
+        return local
     return _checkpoint_dir(spark) or local
 
 
