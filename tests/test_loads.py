@@ -85,3 +85,13 @@ def test_jdbc_options_are_passed(spark):
         replace_table(df)
     with pytest.raises(ValueError):
         read_table(spark)
+
+
+def test_write_errors_propagate(spark, sf001, scratch):
+    blocker = f"{scratch}/not-a-folder"
+    open(blocker, "w").close()
+    df = fx.routed_tickets(spark, sf001)
+    with pytest.raises(Exception):
+        replace_table(df, path=f"{blocker}/table")
+    with pytest.raises(Exception):
+        append_columnar(df, path=f"{blocker}/table")

@@ -85,3 +85,9 @@ def test_replay_strict_to_files_and_console(spark, sf001, scratch, log):
     run_replay(read_message_log(spark, log), f"{scratch}/ck", sink="parquet", path=f"{scratch}/out")
     assert read_parquet_dir(spark, f"{scratch}/out").count() == 1000
     assert glob.glob(f"{scratch}/ck/offsets/*")
+
+
+def test_dual_mode_keeps_one_checkpoint_per_sink(spark, scratch, log):
+    run_export(read_message_log(spark, log), f"{scratch}/p", f"{scratch}/j", f"{scratch}/ck", mode="dual", available_now=True)
+    assert glob.glob(f"{scratch}/ck/offsets/*") and glob.glob(f"{scratch}/ck_json/offsets/*")
+    assert glob.glob(f"{scratch}/p/_spark_metadata/*") and glob.glob(f"{scratch}/j/_spark_metadata/*")
