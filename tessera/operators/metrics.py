@@ -47,6 +47,10 @@ def crosstab_long(df: DataFrame, index: str = "assigned_team", columns: str = "p
     )
 
 
+class TooManyValuesError(ValueError):
+    """More distinct values than may become columns; use the long form."""
+
+
 def pivot_values(df: DataFrame, index: str, columns: str, max_values: int | None = None) -> list[str]:
     """Values of ``columns`` present (with a non-null index), sorted.
 
@@ -64,7 +68,7 @@ def pivot_values(df: DataFrame, index: str, columns: str, max_values: int | None
         .collect()
     )
     if len(present) > limit:
-        raise ValueError(f"{columns} has more than {limit} distinct values; use crosstab_long")
+        raise TooManyValuesError(f"{columns} has more than {limit} distinct values; use crosstab_long")
     return [row.v for row in present]
 
 

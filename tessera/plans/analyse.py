@@ -4,7 +4,7 @@ Plan at scale:
 
 1. One shuffle: the distinct rows with their copy counts (``row_copies``)
    and a ``complete`` flag (no null in the row), written once as a table
-   partitioned by that flag. That cuts the lineage (a lost executor later
+   partitioned by that flag, in the shared folder (``spark.checkpoint.dir``). That cuts the lineage (a lost executor later
    re-reads files instead of redoing the shuffle) and every later output is
    a scan of it.
 2. One aggregation over that table gives the audit (C9) and the null
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.tickets import text_to_timestamp, timestamp_text
-from tessera.operators.metrics import crosstab, distribution_summary, rejected_dates, tickets_per_day
+from tessera.operators.metrics import TooManyValuesError, crosstab, crosstab_long, distribution_summary, rejected_dates, tickets_per_day
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
+from tessera.session import scratch_path
 from tessera.sources.files import load_exports
 
 
@@ -53,10 +54,11 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1
     columns = raw.columns
 
+    distinct_path = scratch_path(spark, "analyse-distinct-rows")  # under spark.checkpoint.dir
     row_copies(raw).withColumn("complete", complete_row(columns)).write.mode("overwrite").partitionBy("complete").parquet(
-        f"{out}/distinct_rows"
+        distinct_path
     )  # C2, one shuffle
-    distinct = spark.read.parquet(f"{out}/distinct_rows")
+    distinct = spark.read.parquet(distinct_path)
     is_complete = F.col("complete").cast("string") == "true"  # partition values come back as text
 
     stats = distinct.agg(
@@ -80,10 +82,12 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     result.paths = write_chart_tables({"summary": distribution_summary(clean)}, charts)
     summary = spark.read.parquet(result.paths["summary"])
     by_priority = summary.where(F.col("dimension") == "priority").select(F.col("value").alias("priority"), "n").orderBy(F.desc("n"), "priority")
-    result.paths.update(
-        write_chart_tables({"by_priority": by_priority, "team_priority": crosstab(clean), "by_day": daily}, charts)
-    )
+    try:
+        team_priority = {"team_priority": crosstab(clean)}
+    except TooManyValuesError:  # too many priorities for columns: the exact long form instead
+        team_priority = {"team_priority_long": crosstab_long(clean)}
+    result.paths.update(write_chart_tables({"by_priority": by_priority, **team_priority, "by_day": daily}, charts))
     write_csv(csv_ready(clean, date_mode), f"{out}/tickets_csv")
     write_summary_text(summary, f"{out}/summary_txt")
-    result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "distinct_rows": f"{out}/distinct_rows"})
+    result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "distinct_rows": distinct_path})
     return result

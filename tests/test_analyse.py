@@ -45,3 +45,16 @@ def test_dashboard_sql(spark, sf001):
         assert dashboard_query(spark, routed, name).count() > 0
     total = dashboard_query(spark, routed, "tickets_by_team").agg(F.sum("n")).first()[0]
     assert total == 1000
+
+
+def test_analyse_falls_back_to_long_crosstab(spark, scratch):
+    rows = [(f"t{i}", "C1", "2024-01-01T00:00:00", "r", "support", f"p{i}", "Equipe Support") for i in range(6)]
+    write_parquet(spark.createDataFrame(rows, ENRICHED_SCHEMA), f"{scratch}/parquet")
+    before = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        result = analyse(spark, f"{scratch}/parquet", f"{scratch}/json", f"{scratch}/out")
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", before)
+    assert "team_priority" not in result.paths
+    assert spark.read.parquet(result.paths["team_priority_long"]).count() == 6
