@@ -122,7 +122,13 @@ def run(args, spark: SparkSession) -> dict:
         from tessera.plans.analyse import analyse
 
         result = analyse(spark, args.parquet, args.json, args.out, date_mode=args.date_mode)
-        return {"audit": result.audit, "null_report": result.null_report, "daily_skipped": result.daily_skipped, "paths": result.paths}
+        return {
+            "audit": result.audit,
+            "columns": result.columns,
+            "null_report": result.null_report,
+            "daily_skipped": result.daily_skipped,
+            "paths": result.paths,
+        }
     if args.command in ("load-relational", "load-columnar"):
         from tessera.plans.loads import load_columnar, load_relational
 

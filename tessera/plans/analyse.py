@@ -34,6 +34,7 @@ from tessera.sources.files import load_exports
 class AnalysisResult:
     audit: dict
     null_report: dict
+    columns: list = field(default_factory=list)  # P13; rows (A6) are in ``audit``
     paths: dict = field(default_factory=dict)
     daily_skipped: bool = False
 
@@ -71,7 +72,7 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     report = {c: stats[f"nulls_{i}"] for i, c in enumerate(columns) if stats[f"nulls_{i}"] > 0}
 
     clean = distinct.where(is_complete).select(*columns)  # C6, prunes to complete=true files
-    result = AnalysisResult(audit=audit, null_report=report)
+    result = AnalysisResult(audit=audit, null_report=report, columns=list(columns))
     if audit["complete"] == 0:  # C10: nothing left to analyse
         return result
 

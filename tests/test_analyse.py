@@ -17,6 +17,7 @@ def test_analyse_on_dirty_export(spark, sf01, scratch):
     assert result.audit == {"loaded": 11000, "deduplicated": 9901, "complete": 8912}
     assert result.null_report == {"ticket_id": 1, "client_id": 1, "created_at": 1, "request_type": 1, "request": 431, "priority": 584}
     assert not result.daily_skipped
+    assert result.columns == list(ENRICHED_SCHEMA.fieldNames())
     by_priority = {r.priority: r.n for r in spark.read.parquet(result.paths["by_priority"]).collect()}
     assert by_priority == {"critical": 287, "high": 3209, "low": 844, "medium": 1996, "urgent": 2576}
     team_priority = spark.read.parquet(result.paths["team_priority"])
