@@ -59,8 +59,9 @@ def summary_lines(summary: DataFrame, sections=SUMMARY_SECTIONS) -> DataFrame:
     (count descending, then value), a blank line after each section.
 
     ``summary`` is the (dimension, value, n) table of
-    ``operators.metrics.distribution_summary``. Returns (section, rank, line)
-    where ordering by (section, rank) gives the text in order.
+    ``operators.metrics.distribution_summary``. Returns (section, part,
+    neg_n, value, line); ordering by the first four gives the text in order.
+    The headings and blank lines are a fixed six-row frame added by union.
     """
     spark = summary.sparkSession
     order = {d: i for i, (d, _) in enumerate(sections)}
