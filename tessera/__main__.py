@@ -71,6 +71,7 @@ def build_parser() -> argparse.ArgumentParser:
     export.add_argument("--mode", choices=["dual", "foreach_batch"], default="dual")
     export.add_argument("--trigger", default="15 seconds")
     export.add_argument("--available-now", action="store_true")
+    export.add_argument("--files-per-batch", type=int, help="foreach_batch mode: files per format per micro-batch")
     sub.choices["replay"].add_argument("--out", help="keep replayed tickets as Parquet here instead of printing them")
 
     p = sub.add_parser("analyse")
@@ -111,6 +112,7 @@ def run(args, spark: SparkSession) -> dict:
             trigger=args.trigger,
             available_now=args.available_now,
             run_seconds=args.run_seconds,
+            files_per_batch=args.files_per_batch,
         )
         return {"finished": finished}
     if args.command == "replay":

@@ -40,12 +40,21 @@ def _file_query(df: DataFrame, fmt: str, path: str, checkpoint: str, trigger, av
     return with_trigger(writer, trigger, available_now).start()
 
 
-def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_path: str) -> None:
-    """One micro-batch to both formats, idempotently (see module doc)."""
+def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_path: str, files_per_batch: int | None = None) -> None:
+    """One micro-batch to both formats, idempotently (see module doc).
+
+    ``files_per_batch`` bounds the files each format gets per batch (against
+    many small files on object stores): the batch is first computed and
+    cached at full parallelism, and only the writes are narrowed.
+    """
     batch.persist()
     try:
-        batch.write.mode("overwrite").parquet(f"{parquet_path}/batch_id={batch_id}")
-        batch.write.mode("overwrite").json(f"{json_path}/batch_id={batch_id}")
+        out = batch
+        if files_per_batch:
+            batch.count()  # parse at full parallelism into the cache
+            out = batch.coalesce(files_per_batch)
+        out.write.mode("overwrite").parquet(f"{parquet_path}/batch_id={batch_id}")
+        out.write.mode("overwrite").json(f"{json_path}/batch_id={batch_id}")
     finally:
         batch.unpersist()
 
@@ -59,8 +68,13 @@ def start_export(
     trigger: str | None = "15 seconds",
     available_now: bool = False,
     name: str | None = None,
+    files_per_batch: int | None = None,
 ) -> list:
-    """Start the export queries (K1, K2, K3, T1-T3); returns them."""
+    """Start the export queries (K1, K2, K3, T1-T3); returns them.
+
+    ``files_per_batch`` applies to ``foreach_batch`` mode (see
+    ``write_batch_both``); in ``dual`` mode each task writes its own file.
+    """
     if mode == "dual":
         return [
             _file_query(enriched, "parquet", parquet_path, checkpoint_path, trigger, available_now, name and f"{name}_parquet"),
@@ -69,7 +83,7 @@ def start_export(
     if mode == "foreach_batch":
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            write_batch_both(batch, batch_id, parquet_path, json_path)
+            write_batch_both(batch, batch_id, parquet_path, json_path, files_per_batch)
 
         writer = enriched.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
         if name:
@@ -87,11 +101,14 @@ def run_export(
     trigger: str | None = "15 seconds",
     available_now: bool = False,
     run_seconds: float | None = None,
+    files_per_batch: int | None = None,
 ) -> bool:
     """J1 end to end: start, then wait until the queries end, fail or time out.
 
     Restarting with the same ``checkpoint_path`` continues where the last run
     stopped (T6).
     """
-    queries = start_export(enriched_stream(source), parquet_path, json_path, checkpoint_path, mode, trigger, available_now)
+    queries = start_export(
+        enriched_stream(source), parquet_path, json_path, checkpoint_path, mode, trigger, available_now, files_per_batch=files_per_batch
+    )
     return await_queries(queries, run_seconds)

@@ -91,3 +91,11 @@ def test_dual_mode_keeps_one_checkpoint_per_sink(spark, scratch, log):
     run_export(read_message_log(spark, log), f"{scratch}/p", f"{scratch}/j", f"{scratch}/ck", mode="dual", available_now=True)
     assert glob.glob(f"{scratch}/ck/offsets/*") and glob.glob(f"{scratch}/ck_json/offsets/*")
     assert glob.glob(f"{scratch}/p/_spark_metadata/*") and glob.glob(f"{scratch}/j/_spark_metadata/*")
+
+
+def test_foreach_batch_bounds_files_per_batch(spark, sf001, scratch):
+    batch = fx.routed_tickets(spark, sf001).repartition(6)
+    write_batch_both(batch, 0, f"{scratch}/p", f"{scratch}/j", files_per_batch=2)
+    assert len(glob.glob(f"{scratch}/p/batch_id=0/part-*.parquet")) <= 2
+    assert len(glob.glob(f"{scratch}/j/batch_id=0/part-*.json")) <= 2
+    assert read_parquet_dir(spark, f"{scratch}/p").count() == 1000
