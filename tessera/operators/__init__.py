@@ -2,6 +2,7 @@ from tessera.operators.layout import sort_for_storage, union_by_name
 from tessera.operators.metrics import (
     crosstab,
     crosstab_long,
+    date_rejects,
     distribution_summary,
     preview,
     rejected_dates,

@@ -103,9 +103,14 @@ def _bad_date(column: str) -> F.Column:
     return F.col(column).isNotNull() & text_to_timestamp(column, "lenient").isNull()
 
 
+def date_rejects(df: DataFrame, column: str = "created_at") -> DataFrame:
+    """One row, ``rejected``: rows whose time text is set but does not parse."""
+    return df.agg(F.count_if(_bad_date(column)).alias("rejected"))
+
+
 def rejected_dates(df: DataFrame, column: str = "created_at") -> int:
-    """Rows whose time text is set but does not parse."""
-    return int(df.agg(F.count_if(_bad_date(column)).alias("bad")).first().bad)
+    """``date_rejects`` as a number."""
+    return int(date_rejects(df, column).first().rejected)
 
 
 def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "lenient") -> DataFrame | None:

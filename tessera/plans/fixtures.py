@@ -109,6 +109,18 @@ def dirty_tickets_from_events(events: DataFrame) -> DataFrame:
     return routed.select(*ENRICHED_FIELDS)
 
 
+def tickets_with_bad_dates_from_events(events: DataFrame) -> DataFrame:
+    """Routed tickets whose creation text is ``bad-date`` on every 37th event
+    (a planted defect for the date modes); every event is kept."""
+    base = tickets_from_events(events, keep=[F.col("event_id").alias("_eid")])
+    created = F.when(F.col("_eid") % 37 == 0, F.lit("bad-date")).otherwise(F.col("created_at"))
+    return assign_team(base.withColumn("created_at", created)).select(*ENRICHED_FIELDS)
+
+
+def tickets_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tickets_with_bad_dates_from_events(read_table(spark, sf_dir, "events"))
+
+
 def dirty_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_tickets_from_events(read_table(spark, sf_dir, "events"))
 
@@ -121,4 +133,6 @@ __all__ = [
     "routed_tickets",
     "tickets",
     "tickets_from_events",
+    "tickets_with_bad_dates",
+    "tickets_with_bad_dates_from_events",
 ]

@@ -56,6 +56,14 @@ clean AS (
       AND assigned_team IS NOT NULL)"""
 
 
+_BAD_DATES = f"""{_T0},
+bad_dates AS (
+    SELECT ticket_id, client_id,
+           CASE WHEN _eid % 37 = 0 THEN 'bad-date' ELSE created_at END AS created_at,
+           request, request_type, priority, {_TEAM} AS assigned_team
+    FROM t0)"""
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -111,6 +119,26 @@ WHERE assigned_team IS NOT NULL AND priority IS NOT NULL GROUP BY assigned_team,
     "tickets_by_day": _with(
         _TICKETS, f"SELECT {_DAY} AS day, count(*) AS n FROM routed WHERE {_DAY} IS NOT NULL GROUP BY 1"
     ),
+    "tickets_by_day_skip": _with(
+        _TICKETS, f"SELECT {_DAY} AS day, count(*) AS n FROM routed WHERE {_DAY} IS NOT NULL GROUP BY 1"
+    ),
+    "tickets_by_day_bad_dates": _with(
+        _BAD_DATES, f"SELECT {_DAY} AS day, count(*) AS n FROM bad_dates WHERE {_DAY} IS NOT NULL GROUP BY 1"
+    ),
+    "rejected_dates": _with(
+        _BAD_DATES,
+        f"SELECT count(*) FILTER (WHERE created_at IS NOT NULL AND TRY_CAST(created_at AS TIMESTAMP) IS NULL) AS rejected FROM bad_dates",
+    ),
+    "team_priority_fixed": _with(
+        _TICKETS,
+        """SELECT assigned_team,
+       count(*) FILTER (WHERE priority = 'low') AS low,
+       count(*) FILTER (WHERE priority = 'medium') AS medium,
+       count(*) FILTER (WHERE priority = 'high') AS high,
+       count(*) FILTER (WHERE priority = 'urgent') AS urgent
+FROM routed WHERE assigned_team IS NOT NULL AND priority IS NOT NULL
+GROUP BY assigned_team""",
+    ),
     "distribution_summary": _with(
         _TICKETS,
         """SELECT 'priority' AS dimension, priority AS value, count(*) AS n FROM routed WHERE priority IS NOT NULL GROUP BY priority

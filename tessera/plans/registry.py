@@ -17,7 +17,7 @@ from tessera.plans import fixtures as fx
 from tessera.plans.analyse import analyse, csv_ready
 from tessera.plans.dashboard import dashboard_query
 from tessera.plans.loads import load_columnar, load_relational
-from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS
+from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS, PRIORITIES
 from tessera.session import scratch_path
 from tessera.sinks import files as file_sinks
 from tessera.sources.files import load_exports, read_json_dir, read_parquet_dir
@@ -68,6 +68,26 @@ def q_tickets_by_day(spark, sf):
     return metrics.tickets_per_day(fx.routed_tickets(spark, sf), mode="lenient")
 
 
+def q_tickets_by_day_skip(spark, sf):
+    """A5 in the all-or-nothing mode; every time parses, so the series is there."""
+    return metrics.tickets_per_day(fx.routed_tickets(spark, sf), mode="skip")
+
+
+def q_tickets_by_day_bad_dates(spark, sf):
+    """A5, lenient: unparseable time text is left out of the series."""
+    return metrics.tickets_per_day(fx.tickets_with_bad_dates(spark, sf), mode="lenient")
+
+
+def q_rejected_dates(spark, sf):
+    """The count of time texts the lenient mode leaves out."""
+    return metrics.date_rejects(fx.tickets_with_bad_dates(spark, sf))
+
+
+def q_team_priority_fixed(spark, sf):
+    """A4 with the fixed priority domain: a stable output schema, one pass."""
+    return metrics.crosstab(fx.routed_tickets(spark, sf), values=PRIORITIES)
+
+
 def q_distribution_summary(spark, sf):
     return metrics.distribution_summary(fx.routed_tickets(spark, sf))
 
@@ -291,6 +311,10 @@ QUERIES = {
     "team_priority_crosstab": q_team_priority_crosstab,
     "team_priority_long": q_team_priority_long,
     "tickets_by_day": q_tickets_by_day,
+    "tickets_by_day_skip": q_tickets_by_day_skip,
+    "tickets_by_day_bad_dates": q_tickets_by_day_bad_dates,
+    "rejected_dates": q_rejected_dates,
+    "team_priority_fixed": q_team_priority_fixed,
     "distribution_summary": q_distribution_summary,
     "row_and_file_counts": q_row_and_file_counts,
     "preview_first": q_preview_first,
