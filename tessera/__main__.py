@@ -48,6 +48,7 @@ def _jdbc(args) -> dict | None:
 
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tessera")
+    parser.add_argument("--ui", action="store_true", help="start Spark's web UI (off by default)")
     sub = parser.add_subparsers(dest="command", required=True)
 
     p = sub.add_parser("publish", help="publish tickets derived from an events table")
@@ -141,7 +142,10 @@ def run(args, spark: SparkSession) -> dict:
 
 def main(argv=None) -> int:
     args = build_parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"tessera-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tessera-{args.command}")
+    if not args.ui:
+        builder = builder.config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     print(json.dumps(run(args, spark), ensure_ascii=False, default=str))
     return 0
 

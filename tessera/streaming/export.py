@@ -76,10 +76,13 @@ def start_export(
     ``write_batch_both``); in ``dual`` mode each task writes its own file.
     """
     if mode == "dual":
-        return [
-            _file_query(enriched, "parquet", parquet_path, checkpoint_path, trigger, available_now, name and f"{name}_parquet"),
-            _file_query(enriched, "json", json_path, checkpoint_path + "_json", trigger, available_now, name and f"{name}_json"),
-        ]
+        first = _file_query(enriched, "parquet", parquet_path, checkpoint_path, trigger, available_now, name and f"{name}_parquet")
+        try:
+            second = _file_query(enriched, "json", json_path, checkpoint_path + "_json", trigger, available_now, name and f"{name}_json")
+        except BaseException:
+            first.stop()  # never leave half of the fan-out running
+            raise
+        return [first, second]
     if mode == "foreach_batch":
 
         def sink(batch: DataFrame, batch_id: int) -> None:

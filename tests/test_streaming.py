@@ -99,3 +99,16 @@ def test_foreach_batch_bounds_files_per_batch(spark, sf001, scratch):
     assert len(glob.glob(f"{scratch}/p/batch_id=0/part-*.parquet")) <= 2
     assert len(glob.glob(f"{scratch}/j/batch_id=0/part-*.json")) <= 2
     assert read_parquet_dir(spark, f"{scratch}/p").count() == 1000
+
+
+def test_dual_mode_does_not_leave_half_running(spark, scratch, log):
+    blocker = f"{scratch}/blocker"
+    open(blocker, "w").close()
+    active_before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception):
+        # the JSON query cannot start: its output folder would be under a file
+        start_export(enriched_stream(read_message_log(spark, log)), f"{scratch}/p", f"{blocker}/j", f"{scratch}/ck", trigger="1 second")
+    leftover = [q for q in spark.streams.active if q.id not in active_before]
+    for q in leftover:
+        q.stop()
+    assert not leftover
