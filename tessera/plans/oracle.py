@@ -44,10 +44,8 @@ d1 AS (
                 WHEN _eid % 31 = 0 AND priority IS NOT NULL THEN 'critical' ELSE priority END AS priority
     FROM t0),
 d2 AS (SELECT _eid, {_MSG}, {_TEAM} AS assigned_team FROM d1),
-dirty AS (
-    SELECT {_ALL} FROM d2
-    UNION ALL
-    SELECT {_ALL} FROM d2 WHERE _eid % 10 = 0),
+d3 AS (SELECT {_ALL}, UNNEST(CASE WHEN _eid % 10 = 0 THEN [1, 2] ELSE [1] END) AS _copy FROM d2),
+dirty AS (SELECT {_ALL} FROM d3),
 distinct_dirty AS (SELECT DISTINCT {_ALL} FROM dirty),
 clean AS (
     SELECT {_ALL} FROM distinct_dirty
