@@ -30,7 +30,14 @@ def _source(spark: SparkSession, args, starting_offsets: str):
     from tessera.sources.kafka import read_message_log, read_topic
 
     if args.kafka:
-        return read_topic(spark, args.kafka, args.topic, starting_offsets)
+        return read_topic(
+            spark,
+            args.kafka,
+            args.topic,
+            starting_offsets,
+            max_offsets_per_trigger=args.max_offsets_per_trigger,
+            min_partitions=args.min_partitions,
+        )
     if args.log:
         return read_message_log(spark, args.log, args.max_files_per_trigger)
     raise SystemExit("give --log or --kafka")
@@ -63,6 +70,8 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--kafka")
         p.add_argument("--topic", default=DEFAULT_TOPIC)
         p.add_argument("--max-files-per-trigger", type=int)
+        p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound each micro-batch")
+        p.add_argument("--min-partitions", type=int, help="Kafka: split topic partitions into more tasks")
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--run-seconds", type=float)
         p.set_defaults(starting_offsets=start)

@@ -46,9 +46,18 @@ def kafka_options(
     return options
 
 
-def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest", extra=None) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str = DEFAULT_TOPIC,
+    starting_offsets: str = "latest",
+    extra=None,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """A streaming read of a Kafka topic."""
-    return spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, starting_offsets, extra)).load()
+    options = kafka_options(bootstrap_servers, topic, starting_offsets, extra, max_offsets_per_trigger, min_partitions)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def read_message_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -25,3 +25,11 @@ def test_jobs_end_to_end(spark, sf001, scratch):
 def test_kafka_throughput_options():
     opts = kafka_options("b:1", max_offsets_per_trigger=100000, min_partitions=64)
     assert opts["maxOffsetsPerTrigger"] == "100000" and opts["minPartitions"] == "64"
+
+
+def test_kafka_arguments_parse():
+    args = build_parser().parse_args(
+        ["export", "--kafka", "b:1", "--parquet", "p", "--json", "j", "--checkpoint", "c", "--max-offsets-per-trigger", "500", "--min-partitions", "32"]
+    )
+    assert (args.kafka, args.max_offsets_per_trigger, args.min_partitions, args.starting_offsets) == ("b:1", 500, 32, "latest")
+    assert build_parser().parse_args(["replay", "--kafka", "b:1", "--checkpoint", "c"]).starting_offsets == "earliest"
