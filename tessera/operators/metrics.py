@@ -93,9 +93,15 @@ def crosstab(df: DataFrame, index: str = "assigned_team", columns: str = "priori
             .agg(F.count(F.lit(1)))
         )
         return pivoted.na.fill(0, subset=values) if values else pivoted
-    long = crosstab_long(df, index, columns).checkpoint(eager=True)
+    return pivot_long(crosstab_long(df, index, columns).checkpoint(eager=True), index, columns)
+
+
+def pivot_long(long: DataFrame, index: str = "assigned_team", columns: str = "priority", n: str = "n") -> DataFrame:
+    """Wide cross-tab from a small long form (index, columns, n): the values
+    present become columns, alphabetically, zero-filled. ``long`` should be
+    materialized (checkpointed or written): it is read twice."""
     values = pivot_values(long, index, columns)
-    pivoted = long.groupBy(index).pivot(columns, values).agg(F.sum("n"))
+    pivoted = long.groupBy(index).pivot(columns, values).agg(F.sum(n))
     return pivoted.na.fill(0, subset=values) if values else pivoted
 
 

@@ -7,23 +7,27 @@ Plan at scale:
    partitioned by that flag, in the shared folder (``spark.checkpoint.dir``). That cuts the lineage (a lost executor later
    re-reads files instead of redoing the shuffle) and every later output is
    a scan of it.
-2. One aggregation over that table gives the audit (C9) and the null
-   report (C3-C5) together.
-3. The cleaned rows (C6) are the ``complete=true`` partition: each report
-   reads only those files and only its own columns. The rows are written
-   once as CSV (K4); the reports are small aggregations (A1-A5, A8) written
-   as chart tables (K10) and text (K5).
+2. The audit (C9) and the null report (C3-C5) are observed while that
+   table is written: no pass of their own.
+3. The cleaned rows (C6) are the ``complete=true`` partition. One
+   grouping-sets pass over four of their columns gives every report count
+   (A1-A5, A8); that small result is checkpointed and each chart table (K10)
+   and the text summary (K5) is cut from it. The rows are written once as
+   CSV (K4).
+
+So the big data is read three times in all: the raw exports (for the
+de-duplication shuffle), and the cleaned rows twice (report counts, CSV).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import text_to_timestamp, timestamp_text
-from tessera.operators.metrics import TooManyValuesError, crosstab, crosstab_long, distribution_summary, rejected_dates, tickets_per_day
+from tessera.functions.tickets import calendar_day, text_to_timestamp, timestamp_text
+from tessera.operators.metrics import TooManyValuesError, pivot_long, rejected_dates
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
 from tessera.session import scratch_path
@@ -39,56 +43,121 @@ class AnalysisResult:
     daily_skipped: bool = False
 
 
-def csv_ready(clean: DataFrame, date_mode: str) -> DataFrame:
+def csv_ready(clean: DataFrame, date_mode: str, any_rejected: bool | None = None) -> DataFrame:
     """Cleaned rows as exported: ``created_at`` rewritten as
     ``yyyy-MM-dd HH:mm:ss`` when it parses. In ``skip`` mode with any text
-    that does not parse, the original text is kept for every row."""
-    if date_mode == "skip" and rejected_dates(clean) > 0:
-        return clean
+    that does not parse, the original text is kept for every row
+    (``any_rejected``, when the caller already knows it, saves a pass)."""
+    if date_mode == "skip":
+        if any_rejected is None:
+            any_rejected = rejected_dates(clean) > 0
+        if any_rejected:
+            return clean
     ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
     formatted = timestamp_text(ts, " ")
     return clean.withColumn("created_at", F.coalesce(formatted, F.col("created_at")))
 
 
+# Grouping sets of the one report pass, and the grouping id each gets for the
+# column order (priority, request_type, assigned_team, day): a bit is set for
+# every column the set leaves out, first column highest.
+REPORT_COLUMNS = ("priority", "request_type", "assigned_team", "day")
+REPORT_SETS = {
+    "priority": (["priority"], 0b0111),
+    "request_type": (["request_type"], 0b1011),
+    "assigned_team": (["assigned_team"], 0b1101),
+    "team_priority": (["assigned_team", "priority"], 0b0101),
+    "day": (["day"], 0b1110),
+}
+
+
+def report_counts(clean: DataFrame, date_mode: str) -> DataFrame:
+    """Every count the reports need, in one pass over the cleaned rows.
+
+    Grouping sets over (priority), (request_type), (assigned_team),
+    (assigned_team, priority) and (day); ``bad`` counts time texts that do not
+    parse (they fall in the null-day group). Returns
+    (gid, priority, request_type, assigned_team, day, n, bad): one row per
+    value or pair, a small table.
+    """
+    ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
+    source = clean.select(
+        "priority",
+        "request_type",
+        "assigned_team",
+        calendar_day(ts).alias("day"),
+        (F.col("created_at").isNotNull() & ts.isNull()).alias("bad"),
+    )
+    return source.groupingSets([cols for cols, _ in REPORT_SETS.values()], *REPORT_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("bad").alias("bad"),
+        F.grouping_id().alias("gid"),
+    )
+
+
+def _slice(counts: DataFrame, name: str) -> DataFrame:
+    return counts.where(F.col("gid") == REPORT_SETS[name][1])
+
+
+def summary_from_counts(counts: DataFrame) -> DataFrame:
+    """A8's (dimension, value, n) from the report counts; null values left out."""
+    parts = [
+        _slice(counts, d).select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), "n").where(F.col(d).isNotNull())
+        for d in ("priority", "request_type", "assigned_team")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str, date_mode: str = "lenient") -> AnalysisResult:
     out = out_dir.rstrip("/")
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1
     columns = raw.columns
 
+    # One shuffle: distinct rows with copy counts (C2), written once. The audit
+    # (C9) and the null report (C3-C5) are observed while that table is
+    # written: the observation sits in the write's result stage, whose task
+    # updates Spark applies exactly once.
     distinct_path = scratch_path(spark, "analyse-distinct-rows")  # under spark.checkpoint.dir
-    row_copies(raw).withColumn("complete", complete_row(columns)).write.mode("overwrite").partitionBy("complete").parquet(
-        distinct_path
-    )  # C2, one shuffle
-    distinct = spark.read.parquet(distinct_path)
-    is_complete = F.col("complete").cast("string") == "true"  # partition values come back as text
-
-    stats = distinct.agg(
-        F.sum(COPIES).cast("long").alias("loaded"),
+    stats = Observation("analyse_distinct_rows")
+    copies = row_copies(raw).withColumn("complete", complete_row(columns))
+    copies.observe(
+        stats,
+        F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("loaded"),
         F.count(F.lit(1)).alias("deduplicated"),
-        F.count_if(is_complete).alias("complete"),
+        F.count_if(F.col("complete")).alias("complete"),
         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)],
-    ).first()
-    audit = {k: stats[k] for k in ("loaded", "deduplicated", "complete")}
-    report = {c: stats[f"nulls_{i}"] for i, c in enumerate(columns) if stats[f"nulls_{i}"] > 0}
+    ).write.mode("overwrite").partitionBy("complete").parquet(distinct_path)
+    observed = stats.get
+    audit = {k: int(observed[k]) for k in ("loaded", "deduplicated", "complete")}
+    report = {c: int(observed[f"nulls_{i}"]) for i, c in enumerate(columns) if observed[f"nulls_{i}"] > 0}
 
-    clean = distinct.where(is_complete).select(*columns)  # C6, prunes to complete=true files
+    is_complete = F.col("complete").cast("string") == "true"  # partition values come back as text
+    clean = spark.read.parquet(distinct_path).where(is_complete).select(*columns)  # C6: complete=true files only
     result = AnalysisResult(audit=audit, null_report=report, columns=list(columns))
     if audit["complete"] == 0:  # C10: nothing left to analyse
         return result
 
-    daily = tickets_per_day(clean, mode=date_mode)
+    # One pass for every report count (A1-A5, A8), kept as a small checkpoint.
+    counts = report_counts(clean, date_mode).checkpoint(eager=True)
+    day_rows = _slice(counts, "day")
+    any_rejected = bool(day_rows.agg(F.sum("bad")).first()[0])
+    daily = None
+    if not (date_mode == "skip" and any_rejected):
+        daily = day_rows.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
     result.daily_skipped = daily is None
-    charts = f"{out}/charts"
-    # A1-A3 in one pass (A8); the per-priority chart is a slice of it.
-    result.paths = write_chart_tables({"summary": distribution_summary(clean)}, charts)
-    summary = spark.read.parquet(result.paths["summary"])
+
+    summary = summary_from_counts(counts)
     by_priority = summary.where(F.col("dimension") == "priority").select(F.col("value").alias("priority"), "n").orderBy(F.desc("n"), "priority")
+    long = _slice(counts, "team_priority").where(F.col("assigned_team").isNotNull() & F.col("priority").isNotNull())
+    long = long.select("assigned_team", "priority", "n")
     try:
-        team_priority = {"team_priority": crosstab(clean)}
+        team_priority = {"team_priority": pivot_long(long)}
     except TooManyValuesError:  # too many priorities for columns: the exact long form instead
-        team_priority = {"team_priority_long": crosstab_long(clean)}
-    result.paths.update(write_chart_tables({"by_priority": by_priority, **team_priority, "by_day": daily}, charts))
-    write_csv(csv_ready(clean, date_mode), f"{out}/tickets_csv")
-    write_summary_text(summary, f"{out}/summary_txt")
+        team_priority = {"team_priority_long": long}
+    charts = f"{out}/charts"
+    result.paths = write_chart_tables({"summary": summary, "by_priority": by_priority, **team_priority, "by_day": daily}, charts)
+
+    write_csv(csv_ready(clean, date_mode, any_rejected), f"{out}/tickets_csv")  # K4
+    write_summary_text(spark.read.parquet(result.paths["summary"]), f"{out}/summary_txt")  # K5
     result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "distinct_rows": distinct_path})
     return result
