@@ -21,8 +21,10 @@ de-duplication shuffle), and the cleaned rows twice (report counts, CSV).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +110,19 @@ def summary_from_counts(counts: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def run_concurrently(spark: SparkSession, actions: dict) -> None:
+    """Run independent Spark actions from separate threads so their jobs are
+    scheduled side by side (the reports here are small jobs that would
+    otherwise leave most of the cluster idle, one after the other). The
+    first failure is raised once all have finished."""
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(actions)))) as pool:
+        # inherit the caller's job group, description and pool in each thread
+        inherit = inheritable_thread_target(spark)
+        futures = [pool.submit(inherit(action)) for action in actions.values()]
+    for future in futures:
+        future.result()
+
+
 def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str, date_mode: str = "lenient") -> AnalysisResult:
     out = out_dir.rstrip("/")
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1
@@ -155,9 +170,11 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     except TooManyValuesError:  # too many priorities for columns: the exact long form instead
         team_priority = {"team_priority_long": long}
     charts = f"{out}/charts"
-    result.paths = write_chart_tables({"summary": summary, "by_priority": by_priority, **team_priority, "by_day": daily}, charts)
-
-    write_csv(csv_ready(clean, date_mode, any_rejected), f"{out}/tickets_csv")  # K4
-    write_summary_text(spark.read.parquet(result.paths["summary"]), f"{out}/summary_txt")  # K5
+    tables = {"summary": summary, "by_priority": by_priority, **team_priority, "by_day": daily}
+    writes = {name: (lambda df=df, name=name: write_chart_tables({name: df}, charts)) for name, df in tables.items() if df is not None}
+    writes["csv"] = lambda: write_csv(csv_ready(clean, date_mode, any_rejected), f"{out}/tickets_csv")  # K4
+    writes["summary_txt"] = lambda: write_summary_text(summary, f"{out}/summary_txt")  # K5
+    run_concurrently(spark, writes)
+    result.paths = {name: f"{charts}/{name}" for name, df in tables.items() if df is not None}
     result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "distinct_rows": distinct_path})
     return result
