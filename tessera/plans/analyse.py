@@ -21,10 +21,8 @@ de-duplication shuffle), and the cleaned rows twice (report counts, CSV).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ from tessera.functions.tickets import calendar_day, text_to_timestamp, timestamp
 from tessera.operators.metrics import TooManyValuesError, pivot_long, rejected_dates
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
-from tessera.session import scratch_path
+from tessera.session import run_concurrently, scratch_path
 from tessera.sources.files import load_exports
 
 
@@ -110,19 +108,6 @@ def summary_from_counts(counts: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def run_concurrently(spark: SparkSession, actions: dict) -> None:
-    """Run independent Spark actions from separate threads so their jobs are
-    scheduled side by side (the reports here are small jobs that would
-    otherwise leave most of the cluster idle, one after the other). The
-    first failure is raised once all have finished."""
-    with ThreadPoolExecutor(max_workers=max(1, min(8, len(actions)))) as pool:
-        # inherit the caller's job group, description and pool in each thread
-        inherit = inheritable_thread_target(spark)
-        futures = [pool.submit(inherit(action)) for action in actions.values()]
-    for future in futures:
-        future.result()
-
-
 def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str, date_mode: str = "lenient") -> AnalysisResult:
     out = out_dir.rstrip("/")
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1

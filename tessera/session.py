@@ -11,7 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -69,3 +71,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one job run."""
     root = ensure_shared_dir(spark).rstrip("/")
     return f"{root}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(spark: SparkSession, actions: dict) -> None:
+    """Run independent Spark actions from separate threads so their jobs are
+    scheduled side by side instead of one after the other (small jobs, such
+    as report tables or the two formats of one micro-batch, would otherwise
+    leave most of the cluster idle). The first failure is raised once all
+    have finished."""
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(actions)))) as pool:
+        # inherit the caller's job group, description and pool in each thread
+        inherit = inheritable_thread_target(spark)
+        futures = [pool.submit(inherit(action)) for action in actions.values()]
+    for future in futures:
+        future.result()

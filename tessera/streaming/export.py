@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tessera.operators.transform import enrich_messages
+from tessera.session import run_concurrently
 from tessera.streaming.control import await_queries, with_trigger
 
 
@@ -41,7 +42,8 @@ def _file_query(df: DataFrame, fmt: str, path: str, checkpoint: str, trigger, av
 
 
 def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_path: str, files_per_batch: int | None = None) -> None:
-    """One micro-batch to both formats, idempotently (see module doc).
+    """One micro-batch to both formats, idempotently (see module doc). The two
+    writes read the cached batch and run side by side.
 
     ``files_per_batch`` bounds the files each format gets per batch (against
     many small files on object stores): the batch is first computed and
@@ -53,8 +55,13 @@ def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_pa
         if files_per_batch:
             batch.count()  # parse at full parallelism into the cache
             out = batch.coalesce(files_per_batch)
-        out.write.mode("overwrite").parquet(f"{parquet_path}/batch_id={batch_id}")
-        out.write.mode("overwrite").json(f"{json_path}/batch_id={batch_id}")
+        run_concurrently(
+            batch.sparkSession,
+            {
+                "parquet": lambda: out.write.mode("overwrite").parquet(f"{parquet_path}/batch_id={batch_id}"),
+                "json": lambda: out.write.mode("overwrite").json(f"{json_path}/batch_id={batch_id}"),
+            },
+        )
     finally:
         batch.unpersist()
 
