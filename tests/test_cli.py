@@ -33,3 +33,22 @@ def test_kafka_arguments_parse():
     )
     assert (args.kafka, args.max_offsets_per_trigger, args.min_partitions, args.starting_offsets) == ("b:1", 500, 32, "latest")
     assert build_parser().parse_args(["replay", "--kafka", "b:1", "--checkpoint", "c"]).starting_offsets == "earliest"
+
+
+def test_module_entry_point(scratch, sf001):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-m", "tessera", "publish", "--events", sf001, "--log", f"{scratch}/log"],
+        cwd=root,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert json.loads(done.stdout.strip().splitlines()[-1]) == {"published": True}
+    assert any(name.endswith(".parquet") for name in os.listdir(f"{scratch}/log"))
