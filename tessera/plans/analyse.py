@@ -4,9 +4,9 @@ Plan at scale:
 
 1. One shuffle: the distinct rows with their copy counts (``row_copies``)
    and a ``complete`` flag (no null in the row), written once as a table
-   partitioned by that flag, in the shared folder (``spark.checkpoint.dir``). That cuts the lineage (a lost executor later
-   re-reads files instead of redoing the shuffle) and every later output is
-   a scan of it.
+   partitioned by that flag, in the shared folder (``spark.checkpoint.dir``).
+   That cuts the lineage (a lost executor later re-reads files instead of
+   redoing the shuffle) and every later output is a scan of it.
 2. The audit (C9) and the null report (C3-C5) are observed while that
    table is written: no pass of their own.
 3. The cleaned rows (C6) are the ``complete=true`` partition. One
