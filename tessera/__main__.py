@@ -145,7 +145,8 @@ def run(args, spark: SparkSession) -> dict:
         from tessera.plans.loads import load_columnar, load_relational
 
         load = load_relational if args.command == "load-relational" else load_columnar
-        return {"rows": load(spark, args.parquet, path=args.path, jdbc=_jdbc(args), table=args.table)}
+        loaded = load(spark, args.parquet, path=args.path, jdbc=_jdbc(args), table=args.table)
+        return {"rows": loaded.rows, "files": loaded.files}
     raise SystemExit(f"unknown command {args.command}")
 
 

@@ -8,13 +8,26 @@ second pass over the data.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.quality import clean_for_warehouse
 from tessera.schemas import DEFAULT_TABLE
 from tessera.sinks.tables import append_columnar, loadable, replace_table
-from tessera.sources.files import load_parquet_exports
+from tessera.sources.files import list_data_files, load_parquet_exports
+
+
+@dataclass
+class LoadResult:
+    rows: int | None  # rows written; None when the guards stopped the load
+    files: int  # Parquet part files read (A7)
+
+
+def _files(spark: SparkSession, parquet_dir: str) -> int:
+    """A7 from a listing (no file is opened)."""
+    return list_data_files(spark, parquet_dir, "*.parquet").count()
 
 
 def _counted(df: DataFrame, name: str):
@@ -22,19 +35,20 @@ def _counted(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> int | None:
-    """Returns the number of rows written, or None when nothing was written."""
+def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> LoadResult:
+    """Rows written (None when nothing was written) and files read."""
     df = load_parquet_exports(spark, parquet_dir)  # S3, S6
+    files = _files(spark, parquet_dir)
     if not loadable(df):  # C10, C11
-        return None
+        return LoadResult(None, files)
     counted, obs = _counted(df, "relational_load")
     replace_table(counted, path=path, jdbc=jdbc, table=table, guard=False)  # K6
-    return obs.get["rows"]
+    return LoadResult(obs.get["rows"], files)
 
 
-def load_columnar(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> int:
-    """Returns the number of rows appended."""
+def load_columnar(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> LoadResult:
+    """Rows appended and files read."""
     clean = clean_for_warehouse(load_parquet_exports(spark, parquet_dir))  # S3, S6, C8
     obs = Observation("columnar_load")
     append_columnar(clean, path=path, jdbc=jdbc, table=table, observation=obs)  # O5, K7
-    return obs.get["rows"]
+    return LoadResult(obs.get["rows"], _files(spark, parquet_dir))

@@ -16,8 +16,8 @@ def test_jobs_end_to_end(spark, sf001, scratch):
     analysed = cli(spark, "analyse", "--parquet", f"{scratch}/p", "--json", f"{scratch}/j", "--out", f"{scratch}/a")
     assert analysed["audit"] == {"loaded": 1000, "deduplicated": 1000, "complete": 1000}
     assert analysed["null_report"] == {}
-    assert cli(spark, "load-relational", "--parquet", f"{scratch}/p", "--path", f"{scratch}/rel") == {"rows": 1000}
-    assert cli(spark, "load-columnar", "--parquet", f"{scratch}/p", "--path", f"{scratch}/col") == {"rows": 1000}
+    assert cli(spark, "load-relational", "--parquet", f"{scratch}/p", "--path", f"{scratch}/rel")["rows"] == 1000
+    assert cli(spark, "load-columnar", "--parquet", f"{scratch}/p", "--path", f"{scratch}/col")["rows"] == 1000
     assert cli(spark, "replay", "--log", f"{scratch}/log", "--checkpoint", f"{scratch}/rck", "--out", f"{scratch}/r") == {"finished": True}
     assert read_parquet_dir(spark, f"{scratch}/r").count() == 1000
 
