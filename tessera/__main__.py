@@ -100,9 +100,17 @@ def build_parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _object_store_paths(args) -> list[str]:
+    names = ("log", "parquet", "json", "checkpoint", "out", "path", "events")
+    return [v for v in (getattr(args, n, None) for n in names) if isinstance(v, str) and v.startswith("s3a://")]
+
+
 def run(args, spark: SparkSession) -> dict:
     from tessera.session import ensure_shared_dir
+    from tessera.sources.objectstore import require_endpoint
 
+    if _object_store_paths(args):
+        require_endpoint(spark)  # S7: fail early, before any query starts
     ensure_shared_dir(spark)
     if args.command == "publish":
         from tessera.plans.fixtures import read_table, tickets_from_events

@@ -52,3 +52,14 @@ def test_module_entry_point(scratch, sf001):
     assert done.returncode == 0, done.stderr[-2000:]
     assert json.loads(done.stdout.strip().splitlines()[-1]) == {"published": True}
     assert any(name.endswith(".parquet") for name in os.listdir(f"{scratch}/log"))
+
+
+def test_object_store_paths_need_an_endpoint(spark):
+    import pytest
+
+    from tessera.sources import configured_endpoint
+
+    if configured_endpoint(spark):
+        pytest.skip("an endpoint is configured in this session")
+    with pytest.raises(ValueError):
+        cli(spark, "analyse", "--parquet", "s3a://bucket/parquet", "--json", "s3a://bucket/json", "--out", "s3a://bucket/out")
