@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as se
 
 ALL = sorted(se.queries())
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "date": "DATE", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def test_entry_runs(spark):
@@ -38,6 +39,8 @@ def test_matches_oracle_small(spark, duck, name):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     want = sorted(tuple(str(row[i]) for i in order) for row in rel.fetchall())
     assert sorted(df.columns) == sorted(cols)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(cols, rel.types)}
     assert got == want
 
 
