@@ -56,6 +56,7 @@ def _jdbc(args) -> dict | None:
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tessera")
     parser.add_argument("--ui", action="store_true", help="start Spark's web UI (off by default)")
+    parser.add_argument("--input-bytes", type=int, help="expected input size: sizes the shuffle for it")
     sub = parser.add_subparsers(dest="command", required=True)
 
     p = sub.add_parser("publish", help="publish tickets derived from an events table")
@@ -106,9 +107,11 @@ def _object_store_paths(args) -> list[str]:
 
 
 def run(args, spark: SparkSession) -> dict:
-    from tessera.session import ensure_shared_dir
+    from tessera.session import apply_settings, ensure_shared_dir, scale_settings
     from tessera.sources.objectstore import require_endpoint
 
+    if args.input_bytes:
+        apply_settings(spark, scale_settings(args.input_bytes))
     if _object_store_paths(args):
         require_endpoint(spark)  # S7: fail early, before any query starts
     ensure_shared_dir(spark)

@@ -85,3 +85,29 @@ def run_concurrently(spark: SparkSession, actions: dict) -> None:
         futures = [pool.submit(inherit(action)) for action in actions.values()]
     for future in futures:
         future.result()
+
+
+def scale_settings(input_bytes: int, target_partition_bytes: int = 512 << 20, min_partitions: int = 200, max_partitions: int = 200_000) -> dict:
+    """Runtime SQL settings sized for ``input_bytes`` of exported tickets.
+
+    The de-duplication shuffle moves about the input's size, so the shuffle
+    starts with enough partitions for ``target_partition_bytes`` each (a
+    reduce task's hash map then fits in executor memory); adaptive execution
+    merges the small ones at run time. 100 TB gives the 200,000 cap, about
+    0.5 GB per task. Input splits stay at the default 128 MB. All keys can be
+    set on a running session.
+    """
+    partitions = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict) -> None:
+    for key, value in settings.items():
+        spark.conf.set(key, value)

@@ -46,3 +46,15 @@ def test_kafka_source_absent_here(spark):
 
     with pytest.raises(Exception):
         read_topic(spark, "localhost:1").writeStream.format("console").start()
+
+
+def test_scale_settings():
+    from tessera.session import scale_settings
+
+    small = scale_settings(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert small["spark.sql.adaptive.enabled"] == "true"
+    hundred_tb = scale_settings(100 << 40)
+    assert hundred_tb["spark.sql.shuffle.partitions"] == "200000"  # the cap: about 0.5 GB per task
+    one_tb = scale_settings(1 << 40)
+    assert one_tb["spark.sql.shuffle.partitions"] == str((1 << 40) // (512 << 20))
