@@ -36,5 +36,6 @@ def enrich_messages(df: DataFrame, value: str = "value", strict: bool = False, k
 
 def encode_messages(df: DataFrame, fields=MESSAGE_FIELDS, key: str | None = None) -> DataFrame:
     """Rows to a message log (``key``, ``value`` bytes), the shape a topic holds."""
-    key_col = F.col(key).cast("binary") if key else F.lit(None).cast("binary")
+    # keys of any type become their UTF-8 text (numbers cannot cast to bytes directly)
+    key_col = F.col(key).cast("string").cast("binary") if key else F.lit(None).cast("binary")
     return df.select(key_col.alias("key"), encode(fields).alias("value"))
