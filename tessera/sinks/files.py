@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tessera.schemas import SUMMARY_SECTIONS
 
 # CSV dialect: quotes doubled (not backslash-escaped), spaces kept, empty text
-# written as "" and null as \N, so a round trip gives back exactly the rows.
+# written as "" and null as \N, so a round trip gives back exactly the rows
+# (line breaks, commas, quotes, backslashes and any Unicode included). The one
+# value that cannot survive is text that is exactly \N: it is the null marker.
 CSV_WRITE_OPTIONS = {
     "header": "true",
     "quote": '"',

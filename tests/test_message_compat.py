@@ -36,3 +36,20 @@ def test_encoded_messages_decode_in_python(spark, tickets):
     decoded = {int(r.key.decode("utf-8")): json.loads(r.value.decode("utf-8")) for r in encoded}
     # null fields are left out of the object; a consumer reads them as absent
     assert decoded == {i: {k: v for k, v in t.items() if v is not None} for i, t in enumerate(tickets)}
+
+
+CSV_TEXT = st.one_of(st.none(), st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=30).filter(lambda t: t != "\\N"))
+
+
+@SETTINGS
+@given(values=st.lists(CSV_TEXT, min_size=1, max_size=25))
+def test_csv_dialect_round_trips_any_text(spark, values):
+    import tempfile
+
+    from tessera.sinks import read_csv, write_csv
+
+    rows = [(str(i), v) for i, v in enumerate(values)]
+    path = tempfile.mkdtemp(prefix="tessera-csv-")
+    write_csv(spark.createDataFrame(rows, "ticket_id string, request string"), f"{path}/out")
+    back = read_csv(spark, f"{path}/out", "ticket_id string, request string").collect()
+    assert sorted((r.ticket_id, r.request) for r in back) == sorted(rows)
