@@ -85,3 +85,23 @@ def test_transform_is_a_projection(spark, corpus):
     assert "Exchange" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert set(enrich_messages(corpus).columns) == set(ENRICHED_FIELDS)
+
+
+def test_routing_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tessera.schemas import TEAM_BY_REQUEST_TYPE
+
+    table = dict(TEAM_BY_REQUEST_TYPE)
+    kinds = st.sampled_from([k for k, _ in TEAM_BY_REQUEST_TYPE])
+    value = st.one_of(st.none(), st.text(max_size=12), kinds, kinds.map(str.upper), kinds.map(lambda k: f" {k}"))
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+    @given(values=st.lists(value, min_size=1, max_size=30))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, request_type string")
+        got = {r.i: r.assigned_team for r in assign_team(df).collect()}
+        assert got == {i: table.get(v, DEFAULT_TEAM) for i, v in enumerate(values)}
+
+    check()
