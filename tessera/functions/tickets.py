@@ -51,14 +51,17 @@ def text_to_timestamp(text="created_at", mode: str = "lenient") -> Column:
     """Ticket time text to ``timestamp_ntz``.
 
     ``lenient`` gives null for text that does not parse; ``strict`` fails the
-    job on it (ANSI cast). The all-or-nothing ``skip`` mode of the daily
+    job on it, with or without ANSI mode. The all-or-nothing ``skip`` mode of the daily
     series is decided at the job level, see ``operators.metrics.tickets_per_day``.
     """
     c = _col(text)
+    parsed = c.try_cast("timestamp_ntz")
     if mode == "strict":
-        return c.cast("timestamp_ntz")
+        # fail explicitly, whatever the session's ANSI setting
+        message = F.concat(F.lit("time text does not parse: "), c)
+        return F.when(c.isNotNull() & parsed.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
     if mode == "lenient":
-        return c.try_cast("timestamp_ntz")
+        return parsed
     raise ValueError(f"unknown date mode {mode!r}")
 
 

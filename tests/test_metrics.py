@@ -109,3 +109,16 @@ def test_time_text_ignores_session_zone(spark):
         assert exported.created_at == "2024-03-10 02:30:05"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_strict_dates_fail_without_ansi_too(spark, dates):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception) as info:
+                tickets_per_day(dates, mode="strict").collect()
+            assert "does not parse" in str(info.value)
+            assert tickets_per_day(dates.where("created_at != 'bad-date'"), mode="strict").count() == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
