@@ -51,8 +51,9 @@ def text_to_timestamp(text="created_at", mode: str = "lenient") -> Column:
     """Ticket time text to ``timestamp_ntz``.
 
     ``lenient`` gives null for text that does not parse; ``strict`` fails the
-    job on it, with or without ANSI mode. The all-or-nothing ``skip`` mode of the daily
-    series is decided at the job level, see ``operators.metrics.tickets_per_day``.
+    job on it, with or without ANSI mode. The all-or-nothing ``skip`` mode of
+    the daily series is decided at the job level, see
+    ``operators.metrics.tickets_per_day``.
     """
     c = _col(text)
     parsed = c.try_cast("timestamp_ntz")
