@@ -27,7 +27,7 @@ from tessera.schemas import DEFAULT_TABLE, DEFAULT_TOPIC
 
 
 def _source(spark: SparkSession, args, starting_offsets: str):
-    from tessera.sources.kafka import read_message_log, read_topic
+    from tessera.sources.kafka import read_message_log, read_message_text_log, read_topic
 
     if args.kafka:
         return read_topic(
@@ -40,7 +40,9 @@ def _source(spark: SparkSession, args, starting_offsets: str):
         )
     if args.log:
         return read_message_log(spark, args.log, args.max_files_per_trigger)
-    raise SystemExit("give --log or --kafka")
+    if args.text_log:
+        return read_message_text_log(spark, args.text_log, args.max_files_per_trigger)
+    raise SystemExit("give --log, --text-log or --kafka")
 
 
 def _jdbc(args) -> dict | None:
@@ -67,7 +69,8 @@ def build_parser() -> argparse.ArgumentParser:
 
     for name, start in (("export", "latest"), ("replay", "earliest")):
         p = sub.add_parser(name)
-        p.add_argument("--log")
+        p.add_argument("--log", help="message-log folder (Parquet: key, value bytes)")
+        p.add_argument("--text-log", help="folder of JSON-lines message files")
         p.add_argument("--kafka")
         p.add_argument("--topic", default=DEFAULT_TOPIC)
         p.add_argument("--max-files-per-trigger", type=int)
@@ -102,7 +105,7 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _object_store_paths(args) -> list[str]:
-    names = ("log", "parquet", "json", "checkpoint", "out", "path", "events")
+    names = ("log", "text_log", "parquet", "json", "checkpoint", "out", "path", "events")
     return [v for v in (getattr(args, n, None) for n in names) if isinstance(v, str) and v.startswith("s3a://")]
 
 

@@ -8,7 +8,7 @@ from tessera.sources.files import (
     read_parquet_dir,
 )
 from tessera.sources.jdbc import read_table
-from tessera.sources.kafka import kafka_options, read_message_log, read_message_log_batch, read_topic
+from tessera.sources.kafka import kafka_options, read_message_log, read_message_log_batch, read_message_text_log, read_topic
 from tessera.sources.objectstore import configured_endpoint, require_endpoint, s3a_settings
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -72,6 +72,19 @@ def read_message_log(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.parquet(path)
 
 
+def read_message_text_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A folder of JSON-lines files, one message per line, read as a stream.
+
+    Gives a ``value`` column of text; parsing accepts text as well as bytes.
+    An empty line is an empty message (parsed as all-null, as an empty topic
+    value is).
+    """
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
 def read_message_log_batch(spark: SparkSession, path: str) -> DataFrame:
     """The same log read once, as a batch table."""
     return spark.read.schema(MESSAGE_LOG_SCHEMA).parquet(path)

@@ -4,6 +4,7 @@ import glob
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import enrich_messages
 from tessera.plans import fixtures as fx
@@ -114,3 +115,16 @@ def test_dual_mode_does_not_leave_half_running(spark, scratch, log):
     for q in leftover:
         q.stop()
     assert not leftover
+
+
+def test_text_message_log_stream(spark, sf001, scratch):
+    from tessera.sources import read_message_text_log
+
+    fx.tickets(spark, sf001).select(F.to_json(F.struct(*MESSAGE_FIELDS)).alias("value")).write.text(f"{scratch}/text")
+    with open(f"{scratch}/text/part-extra.txt", "w", encoding="utf-8") as fh:
+        fh.write("not json\n\n")
+    run_export(read_message_text_log(spark, f"{scratch}/text"), f"{scratch}/p", f"{scratch}/j", f"{scratch}/ck", available_now=True)
+    out = read_parquet_dir(spark, f"{scratch}/p")
+    assert out.count() == 1002
+    assert rows_of(out.where("ticket_id IS NOT NULL")) == rows_of(fx.routed_tickets(spark, sf001))
+    assert out.where("ticket_id IS NULL AND assigned_team = 'Equipe Générique'").count() == 2
