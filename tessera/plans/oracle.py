@@ -186,6 +186,7 @@ FROM clean""",
         _TICKETS, "SELECT 'parquet' AS format, * FROM routed UNION ALL SELECT 'json' AS format, * FROM routed"
     ),
     "stream_restart": _with(_TICKETS, "SELECT * FROM routed UNION ALL SELECT * FROM routed"),
+    "stream_text_log": _with(_TICKETS, "SELECT * FROM routed"),
     "replay_strict": _with(_TICKETS, "SELECT * FROM tickets"),
     "relational_replace": _with(_DIRTY, "SELECT * FROM dirty"),
     "columnar_append": _with(_DIRTY, "SELECT * FROM clean UNION ALL SELECT * FROM clean"),

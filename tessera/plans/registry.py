@@ -21,7 +21,7 @@ from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS, PR
 from tessera.session import scratch_path
 from tessera.sinks import files as file_sinks
 from tessera.sources.files import load_exports, read_json_dir, read_parquet_dir
-from tessera.sources.kafka import read_message_log
+from tessera.sources.kafka import read_message_log, read_message_text_log
 from tessera.streaming.export import run_export
 from tessera.streaming.publish import publish_tickets
 from tessera.streaming.replay import run_replay
@@ -218,6 +218,15 @@ def q_stream_restart(spark, sf):
     return read_parquet_dir(spark, f"{root}/parquet").select(*ENRICHED_FIELDS)
 
 
+def q_stream_text_log(spark, sf):
+    """J1 from a folder of JSON-lines message files instead of a byte log."""
+    root = scratch_path(spark, "stream_text_log")
+    messages = fx.tickets(spark, sf).select(F.to_json(F.struct(*MESSAGE_FIELDS)).alias("value"))
+    messages.write.text(f"{root}/text")
+    run_export(read_message_text_log(spark, f"{root}/text"), f"{root}/parquet", f"{root}/json", f"{root}/ckpt", available_now=True)
+    return read_parquet_dir(spark, f"{root}/parquet").select(*ENRICHED_FIELDS)
+
+
 def q_replay_strict(spark, sf):
     """The whole log from the start, strict parsing, kept as Parquet."""
     root = scratch_path(spark, "replay_strict")
@@ -334,6 +343,7 @@ QUERIES = {
     "stream_json": q_stream_json,
     "stream_fanout": q_stream_fanout,
     "stream_restart": q_stream_restart,
+    "stream_text_log": q_stream_text_log,
     "replay_strict": q_replay_strict,
     "relational_replace": q_relational_replace,
     "columnar_append": q_columnar_append,
