@@ -140,7 +140,7 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     # One pass for every report count (A1-A5, A8), kept as a small checkpoint.
     counts = report_counts(clean, date_mode).checkpoint(eager=True)
     day_rows = _slice(counts, "day")
-    any_rejected = bool(day_rows.agg(F.sum("bad")).first()[0])
+    any_rejected = bool(day_rows.agg(F.sum("bad")).first()[0]) if date_mode == "skip" else None
     daily = None
     if not (date_mode == "skip" and any_rejected):
         daily = day_rows.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
