@@ -5,7 +5,7 @@
                                --parquet DIR --json DIR --checkpoint DIR
                                [--mode dual|foreach_batch] [--trigger "15 seconds" | --available-now]
                                [--run-seconds N]
-    python -m tessera replay   --log DIR | --kafka HOST:PORT --checkpoint DIR [--out DIR]
+    python -m tessera replay   --log DIR | --kafka HOST:PORT --checkpoint DIR [--out DIR] [--follow]
     python -m tessera analyse  --parquet DIR --json DIR --out DIR [--date-mode lenient|strict|skip]
     python -m tessera load-relational --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
     python -m tessera load-columnar   --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
@@ -86,7 +86,10 @@ def build_parser() -> argparse.ArgumentParser:
     export.add_argument("--trigger", default="15 seconds")
     export.add_argument("--available-now", action="store_true")
     export.add_argument("--files-per-batch", type=int, help="foreach_batch mode: files per format per micro-batch")
-    sub.choices["replay"].add_argument("--out", help="keep replayed tickets as Parquet here instead of printing them")
+    replay = sub.choices["replay"]
+    replay.add_argument("--out", help="keep replayed tickets as Parquet here instead of printing them")
+    replay.add_argument("--follow", action="store_true", help="keep listening for new messages")
+    replay.add_argument("--trigger", help="micro-batch interval when following, e.g. '5 seconds'")
 
     p = sub.add_parser("analyse")
     p.add_argument("--parquet", required=True)
@@ -143,7 +146,16 @@ def run(args, spark: SparkSession) -> dict:
         from tessera.streaming.replay import run_replay
 
         sink = "parquet" if args.out else "console"
-        return {"finished": run_replay(_source(spark, args, args.starting_offsets), args.checkpoint, sink=sink, path=args.out, run_seconds=args.run_seconds)}
+        finished = run_replay(
+            _source(spark, args, args.starting_offsets),
+            args.checkpoint,
+            sink=sink,
+            path=args.out,
+            run_seconds=args.run_seconds,
+            follow=args.follow,
+            trigger=args.trigger,
+        )
+        return {"finished": finished}
     if args.command == "analyse":
         from tessera.plans.analyse import analyse
 

@@ -15,7 +15,9 @@ from tessera.operators.layout import sort_for_storage
 from tessera.operators.quality import has_key_column, is_empty
 from tessera.schemas import DEFAULT_TABLE, ENRICHED_FIELDS
 
-# Column-store table definition tail: sorted by creation text.
+# --- Fixed value ---------------------------------------------------------------
+# The column-store table definition tail the original load creates its table
+# with (engine, and rows kept sorted by the creation text).
 COLUMNAR_TABLE_OPTIONS = "ENGINE = MergeTree() ORDER BY created_at"
 
 

@@ -43,5 +43,17 @@ def start_replay(
     return with_trigger(writer, trigger, available_now).start()
 
 
-def run_replay(source: DataFrame, checkpoint_path: str, sink: str = "console", path: str | None = None, strict: bool = True, run_seconds: float | None = None) -> bool:
-    return await_queries([start_replay(source, checkpoint_path, sink, path, strict)], run_seconds)
+def run_replay(
+    source: DataFrame,
+    checkpoint_path: str,
+    sink: str = "console",
+    path: str | None = None,
+    strict: bool = True,
+    run_seconds: float | None = None,
+    follow: bool = False,
+    trigger: str | None = None,
+) -> bool:
+    """Replay what the log holds and stop, or with ``follow`` keep showing new
+    messages as they arrive (until ``run_seconds``, a failure, or a stop)."""
+    query = start_replay(source, checkpoint_path, sink, path, strict, trigger=trigger, available_now=not follow)
+    return await_queries([query], run_seconds)

@@ -63,3 +63,11 @@ def test_object_store_paths_need_an_endpoint(spark):
         pytest.skip("an endpoint is configured in this session")
     with pytest.raises(ValueError):
         cli(spark, "analyse", "--parquet", "s3a://bucket/parquet", "--json", "s3a://bucket/json", "--out", "s3a://bucket/out")
+
+
+def test_replay_follow_runs_until_stopped(spark, sf001, scratch):
+    cli(spark, "publish", "--events", sf001, "--log", f"{scratch}/log")
+    out = cli(spark, "replay", "--log", f"{scratch}/log", "--checkpoint", f"{scratch}/ck", "--out", f"{scratch}/r",
+              "--follow", "--trigger", "1 second", "--run-seconds", "15")
+    assert out == {"finished": False}  # still listening when the time ran out
+    assert read_parquet_dir(spark, f"{scratch}/r").count() == 1000
