@@ -75,10 +75,20 @@ def summary_lines(summary: DataFrame, sections=SUMMARY_SECTIONS) -> DataFrame:
         F.col("value"),
         F.format_string("%s: %d", F.col("value"), F.col("n")).alias("line"),
     ).where(F.col("section").isNotNull())
-    frame = spark.createDataFrame(
-        [(i, p, 0, "", text) for i, (_, label) in enumerate(sections) for p, text in ((0, f"{label} :"), (2, ""))],
-        "section int, part int, neg_n long, value string, line string",
-    )
+    # Headings and blank lines, built on the JVM side (a Python-list frame
+    # would start Python workers for six rows).
+    fixed = [
+        F.struct(
+            F.lit(i).alias("section"),
+            F.lit(p).alias("part"),
+            F.lit(0).cast("long").alias("neg_n"),
+            F.lit("").alias("value"),
+            F.lit(text).alias("line"),
+        )
+        for i, (_, label) in enumerate(sections)
+        for p, text in ((0, f"{label} :"), (2, ""))
+    ]
+    frame = spark.range(1).select(F.inline(F.array(*fixed)))
     return body.unionByName(frame)
 
 
