@@ -28,8 +28,17 @@ def zero_padded(prefix: str, number, width: int) -> F.Column:
     return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
 
 
+# Schemas of the driver tables read here. Given explicitly, no job reads
+# Parquet footers to infer them, and ``ts`` is always a wall-clock
+# (``timestamp_ntz``) value, whatever the session's inference settings.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tickets_from_events(events: DataFrame, keep=()) -> DataFrame:
