@@ -32,8 +32,14 @@ def duck():
 
 @pytest.mark.parametrize("name", ALL)
 def test_matches_oracle_small(spark, duck, name):
-    df = se.queries()[name](spark, "/root/testdata/sf0.001")
-    got = sorted(tuple(str(v) for v in r) for r in df.select(*sorted(df.columns)).collect())
+    sc = spark.sparkContext
+    sc.setJobGroup(f"registered-{name}", name)  # read back by test_registered_queries_start_no_python
+    try:
+        df = se.queries()[name](spark, "/root/testdata/sf0.001")
+        got = sorted(tuple(str(v) for v in r) for r in df.select(*sorted(df.columns)).collect())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
     rel = duck.sql(se.oracle_sql()[name])
     cols = rel.columns
     order = sorted(range(len(cols)), key=lambda i: cols[i])
@@ -64,3 +70,36 @@ def test_no_python_in_plans(spark, name):
     plan = _plan(se.queries()[name](spark, "/root/testdata/sf0.001"))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
     assert os.path.exists("/root/testdata/sf0.001")
+
+
+def test_registered_queries_start_no_python(spark):
+    """No stage of any registered query (run above) holds a Python RDD: the
+    work stays on the JVM, including small frames built in the library."""
+    import time
+
+    from conftest import event_log
+
+    deadline = time.time() + 30
+    while True:
+        events = event_log(spark)
+        groups, stages, ended = {}, {}, set()
+        for e in events:
+            if e.get("Event") == "SparkListenerJobStart":
+                group = (e.get("Properties") or {}).get("spark.jobGroup.id") or ""
+                if group.startswith("registered-"):
+                    groups[e["Job ID"]] = group
+                    for sid in e["Stage IDs"]:
+                        stages[sid] = group
+            elif e.get("Event") == "SparkListenerJobEnd":
+                ended.add(e["Job ID"])
+        if set(groups) <= ended or time.time() > deadline:
+            break
+        time.sleep(0.5)
+    assert len({g for g in groups.values()}) >= len(ALL) - 2  # nearly every query ran jobs
+    python = set()
+    for e in events:
+        if e.get("Event") == "SparkListenerStageCompleted":
+            info = e["Stage Info"]
+            if info["Stage ID"] in stages and any("Python" in r["Name"] for r in info["RDD Info"]):
+                python.add(stages[info["Stage ID"]])
+    assert not python
