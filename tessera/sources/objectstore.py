@@ -28,8 +28,10 @@ def configured_endpoint(spark: SparkSession) -> str | None:
     if value:
         return value
     try:
+        # settings given as fs.s3a.* (without the spark.hadoop. prefix) live
+        # only in the Hadoop configuration
         return spark.sparkContext._jsc.hadoopConfiguration().get("fs.s3a.endpoint")
-    except Exception:
+    except Exception:  # no SparkContext in this client (Spark Connect)
         return None
 
 
