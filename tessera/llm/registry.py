@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import op1_bpe
+from tessera.llm.contamination import op7_contamination
+from tessera.llm.exact import OP10_SQL, op10_exact
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op7_contamination": op7_contamination,
+    "op10_exact": op10_exact,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_exact": OP10_SQL,
+}

@@ -1,0 +1,47 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from tessera.llm import exact
+
+ROWS = [(1, "a b"), (2, "ab "), (3, "a  b"), (4, None), (5, ""), (6, " \n\t\x0b\x0c\r"), (7, "a b"), (8, "x" * 200_000), (9, "x " * 200_000), (None, "a b"), (10, "q"), (10, "q"), (11, "é"), (12, "é")]
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((i, t or ""))
+    out = []
+    for key, members in groups.items():
+        keep = min(members, key=lambda m: (-len(m[1]), m[0] is None, m[0] or 0))
+        out += [(i, keep[0], len(members), hashlib.sha256(key.encode()).hexdigest()) for i, _ in members]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bound", [exact.TABLE_BYTES, 100_000])
+def test_groups(spark, make_docs, bound):
+    got = exact.exact_groups(make_docs(ROWS), table_bytes=bound).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got), key=str) == brute(ROWS)
+    kept = [r for r in got if r["row"] == r["keep_row"]]
+    assert len(kept) == len({r["text_sha256"] for r in got})  # one row of each group, also of repeated rows
+
+
+def test_real_texts(spark, make_docs, sf001_texts):
+    rows = [(i, t) for i, t in sf001_texts.items()] + [(10_000 + i, f" {t}\n") for i, t in sf001_texts.items() if i % 3 == 0]
+    got = exact.exact_groups(make_docs(rows, 7), table_bytes=60_000).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got), key=str) == brute(rows)
+
+
+def test_deduplicated_keeps_columns(spark, make_docs):
+    docs = make_docs(ROWS)
+    got = exact.deduplicated(docs)
+    assert got.columns == docs.columns
+    assert {r["doc_id"] for r in got.collect()} == {x[1] for x in brute(ROWS)}
+    assert got.count() == len({x[3] for x in brute(ROWS)})
+
+
+def test_empty(spark, make_docs):
+    assert exact.exact_groups(make_docs([])).collect() == []
+    assert exact.deduplicated(make_docs([])).collect() == []
