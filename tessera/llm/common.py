@@ -19,6 +19,7 @@ from tessera.session import scratch_path
 
 #: Bytes of text that one round of array work takes (a longer text goes alone).
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,6 +122,6 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     data = np.frombuffer(content, np.uint8) if content is not None and content.size else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+        hi = min(max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1), lo + SLICE_ROWS)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.bpe import op1_bpe
 from tessera.llm.contamination import op7_contamination
 from tessera.llm.exact import OP10_SQL, op10_exact
+from tessera.llm.jaccard import op2_jaccard
+from tessera.llm.langid import op8_langid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
     "op7_contamination": op7_contamination,
+    "op8_langid": op8_langid,
     "op10_exact": op10_exact,
 }
 
