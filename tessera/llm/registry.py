@@ -11,10 +11,14 @@ from tessera.llm.contamination import op7_contamination
 from tessera.llm.exact import OP10_SQL, op10_exact
 from tessera.llm.jaccard import op2_jaccard
 from tessera.llm.langid import op8_langid
+from tessera.llm.pii import op6_pii
+from tessera.llm.secrets import op5_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
+    "op5_secrets": op5_secrets,
+    "op6_pii": op6_pii,
     "op7_contamination": op7_contamination,
     "op8_langid": op8_langid,
     "op10_exact": op10_exact,

@@ -1,0 +1,77 @@
+import hashlib
+import re
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.llm import pii
+
+# The contract's base patterns, run as they stand.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def checksum(digits):
+    odd = [int(d) for d in digits[-1::-2]]
+    even = [sum(divmod(2 * int(d), 10)) for d in digits[-2::-2]]
+    return (sum(odd) + sum(even)) % 10 == 0
+
+
+def brute(text):
+    text = text or ""
+    n = lambda m: re.sub(r"[^0-9]", "", m[0])
+    out = [("email", m) for m in EMAIL.finditer(text)]
+    out += [("ip", m) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", m) for m in CARD.finditer(text) if 13 <= len(n(m)) <= 19 and checksum(n(m))]
+    out += [("phone", m) for m in PHONE.finditer(text) if 9 <= len(n(m)) <= 15]
+    return [(k, m.start(), m.end()) for k, m in out]
+
+
+def base(text):
+    return [f[:3] for f in pii.spans(text) if f[0] in pii.BASE]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab1029.@-+() %_é5"), max_size=60))
+def test_base_spans(text):
+    assert base(text) == brute(text)
+
+
+def test_table(spark, make_docs, sf001_texts):
+    odd = ["", None, "a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "256.1.1.1 0001.02.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (988) 555-2485.", "é a.b+c@x-y.co.uk é 10.0.0.1", "@@a@b.c", "a@b@c.d"]
+    rows = list(enumerate(odd)) + [(1000 + i, t) for i, t in sf001_texts.items()] + [(1000, sf001_texts[0])]
+    texts = dict(rows)
+    got = pii.find_personal_data(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = brute(texts[r["doc_id"]])
+        names = [f"{k}:{a}:{b}" for k, a, b in want]
+        assert [r[f"n_{k}"] for k in pii.BASE] == [sum(x[0] == k for x in want) for k in pii.BASE]
+        assert r["base_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in pii.BASE] == names
+        assert len(r["scores"]) == len(r["spans"].split(",")) * bool(r["spans"])
+    assert any(r["n_email"] for r in got) and pii.find_personal_data(make_docs([])).collect() == []
+
+
+def test_checksums_and_context():
+    kinds = lambda t: [f[0] for f in pii.spans(t)]
+    assert kinds("iban DE89370400440532013000") == ["iban"] and kinds("iban DE88370400440532013000") == []
+    assert kinds("GB82 WEST 1234 5698 7654 32 now") == ["iban"]
+    assert kinds("ssn 123-45-6789") == ["national_id"] and kinds("part 123-45-6789") == []
+    with_word, without = pii.spans("my credit card 4111111111111111")[0], pii.spans("the 4111111111111111")[0]
+    assert with_word[3] > without[3] > pii.spans("order 4111111111111111")[0][3]
+
+
+def test_masked(spark, make_docs):
+    got = {r["doc_id"]: r["text"] for r in pii.masked(make_docs([(1, "mail me: a@b.org, ok"), (2, None)])).collect()}
+    assert got == {1: "mail me: [email], ok", 2: None}
+
+
+def test_linear_in_long_runs():
+    began = time.time()
+    for run in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1" * 100_000, "1 " * 150_000, "+1 " + "." * 300_000, "A" * 300_000, "AB12" * 50_000):
+        pii.spans(run)
+    assert time.time() - began < 20
