@@ -42,10 +42,10 @@ SLOP = 2
 BLOCK_BYTES = 16 << 20
 
 _INDEX = (
-    "segment bigint, doc_ids array<bigint>, rows array<bigint>, bases array<bigint>, n_words array<bigint>, "
+    "segment bigint, doc_ids array<bigint>, rows array<bigint>, hashes array<bigint>, bases array<bigint>, n_words array<bigint>, "
     "terms array<int>, counts array<int>, positions binary"
 )
-_HITS = "doc_id bigint, row bigint, n_words bigint, hits array<int>, items array<string>, near_items array<string>"
+_HITS = "doc_id bigint, row bigint, text_hash bigint, n_words bigint, hits array<int>, items array<string>, near_items array<string>"
 
 
 class Windows:
@@ -123,7 +123,7 @@ def _index_task(windows):
         known, gap = windows.value.vocabulary, windows.value.gap
         segment = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(2)):
+            for lo, hi, data, offsets in text_slices(batch.column(3)):
                 words = Words(data, offsets)
                 n = words.per_doc
                 bases = gap + np.cumsum(n + gap) - (n + gap)
@@ -134,7 +134,7 @@ def _index_task(windows):
                 order = np.argsort(term, kind="stable")
                 terms, counts = np.unique(term, return_counts=True)
                 row = [
-                    [segment], [batch.column(0).slice(lo, hi - lo).to_pylist()], [batch.column(1).slice(lo, hi - lo).to_pylist()],
+                    [segment], *([batch.column(i).slice(lo, hi - lo).to_pylist()] for i in range(3)),
                     [bases], [n], [terms.astype(np.int32)], [counts.astype(np.int32)], [position[order].astype("<u4").tobytes()],
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, _INDEX_TYPES)], _INDEX_NAMES)
@@ -144,7 +144,7 @@ def _index_task(windows):
 
 
 _LONGS, _INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
-_INDEX_TYPES = [pa.int64(), _LONGS, _LONGS, _LONGS, _LONGS, _INTS, _INTS, pa.binary()]
+_INDEX_TYPES = [pa.int64(), _LONGS, _LONGS, _LONGS, _LONGS, _LONGS, _INTS, _INTS, pa.binary()]
 _INDEX_NAMES = [x.split()[0] for x in _INDEX.split(", ")]
 
 
@@ -154,9 +154,9 @@ def _search_task(windows):
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda k: batch.column(k)[i].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                doc_ids, rows = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                bases, n_words, terms, counts = get(3), get(4), get(5), get(6)
-                positions = np.frombuffer(batch.column(7)[i].as_buffer(), "<u4")
+                doc_ids, rows, hashes = (batch.column(k)[i].as_py() for k in (1, 2, 3))
+                bases, n_words, terms, counts = get(4), get(5), get(6), get(7)
+                positions = np.frombuffer(batch.column(8)[i].as_buffer(), "<u4")
                 window, start, exact = w.search(terms, counts, positions)
                 doc = np.searchsorted(bases, start, "right") - 1
                 hits, items, near = ([[] for _ in doc_ids] for _ in range(3))
@@ -170,21 +170,25 @@ def _search_task(windows):
                 of = np.searchsorted(bases, every, "right") - 1
                 for d in np.unique(of).tolist():
                     hits[d] = (every[of == d] - bases[d]).astype(np.int32)
-                out = [doc_ids, rows, n_words, hits, items, near]
-                kinds = [pa.int64(), pa.int64(), pa.int64(), _INTS, pa.list_(pa.string()), pa.list_(pa.string())]
+                out = [doc_ids, rows, hashes, n_words, hits, items, near]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), _INTS, pa.list_(pa.string()), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], [x.split()[0] for x in _HITS.split(", ")])
 
     return run
 
 
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def build_index(docs: DataFrame, windows) -> DataFrame:
     """The stored index of ``docs`` for the terms of a broadcast ``Windows``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), _text_hash().alias("text_hash"), "text")
     return stored(rows.mapInArrow(_index_task(windows), _INDEX), "positional-index")
 
 
 def search_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS, slop: int = SLOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document row: doc_id, row, n_words, the word positions hit by exact
+    """Per document row: doc_id, row, text_hash, n_words, the word positions hit by exact
     matches, the items matched exactly, and those matched in proximity only
     at some place (as sorted strings)."""
     spark = docs.sparkSession
@@ -204,7 +208,7 @@ def search_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_
     if blocks == 1:
         return found
     joined = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return found.groupBy("row", "doc_id").agg(F.max("n_words").alias("n_words"), joined("hits"), joined("items"), joined("near_items")).select("doc_id", "row", "n_words", "hits", "items", "near_items")
+    return found.groupBy("row", "doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), joined("hits"), joined("items"), joined("near_items")).select("doc_id", "row", "text_hash", "n_words", "hits", "items", "near_items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -221,10 +225,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without an exact benchmark window, all columns kept."""
-    dirty = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty")), "left_anti")
+    hit = search_benchmark(docs, benchmark, **options).where(F.size("hits") > 0)
+    dirty = hit.select(F.col("doc_id").alias("__dirty_id"), F.col("text_hash").alias("__dirty_hash")).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("__dirty_id")) & (_text_hash() == F.col("__dirty_hash")), "left_anti")
 
 
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,5 +186,23 @@ def identify(docs: DataFrame, model: Model | None = None, **options) -> DataFram
     return rows.mapInArrow(_score_task(docs.sparkSession.sparkContext.broadcast(model)), _OUT)
 
 
+def accepted(docs: DataFrame, model: Model | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` that can be given a language, all columns kept; null
+    texts and texts without a letter go. (Where no row has a language to learn
+    from, only these go as well.) Rows are judged where they are read."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, **options))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for lo, hi, data, offsets in text_slices(batch.column(batch.schema.get_field_index("text"))):
+                pairs, count, has = grams(data, offsets)
+                keep[lo:hi] = has & np.isfinite(m.margins(pairs, count).max(axis=1)) if m.langs else has
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
