@@ -1,0 +1,70 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from tessera.llm import lmscore as lm
+from tessera.llm.common import word_hashes
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return [int(word_hashes(w)[0]) for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
+
+
+def pair(a, b):
+    import numpy as np
+
+    return int(lm.mix(np.array([(a * 3 + b) % 2**64], np.uint64))[0]) >> (64 - lm.PAIR_BITS)
+
+
+def brute(rows, target):
+    cls = lambda h: h >> (64 - lm.WORD_BITS)
+    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for i, t in rows:
+        w = words(t)
+        for a, b in zip([int(lm._START), *w], w):
+            for k in (0, 1) if i in target else (1,):
+                counts[k][0][cls(b)] += 1
+                counts[k][1][cls(a)] += 1
+                counts[k][2][pair(a, b)] += 1
+    total = [sum(c[0].values()) for c in counts]
+    scale = [1, total[0] / total[1] if total[1] else 0]
+    out = []
+    for i, t in rows:
+        w = words(t)
+        ce = [0.0, 0.0]
+        for a, b in zip([int(lm._START), *w], w):
+            for k in (0, 1):
+                p = (counts[k][0][cls(b)] * scale[k] + lm.UNIFORM) / (total[0] + lm.UNIFORM * 2**lm.WORD_BITS)
+                ce[k] -= math.log((counts[k][2][pair(a, b)] * scale[k] + lm.BACKOFF * p) / (counts[k][1][cls(a)] * scale[k] + lm.BACKOFF))
+        out.append((i, len(w), *((ce[0] / len(w), ce[1] / len(w), (ce[0] - ce[1]) / len(w)) if w else (None,) * 3)))
+    return out
+
+
+ROWS = [(1, "the cat sat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (5, "..."), (6, "THE cat! the dog?"), (6, "THE cat! the dog?"), (None, "a cat"), (7, "word " * 30_000), (8, "é ß é")]
+
+
+@pytest.mark.parametrize("target", [{1, 6}, set(), {i for i, _ in ROWS if i}])
+def test_brute_force(spark, make_docs, target):
+    docs = make_docs(ROWS)
+    ids = spark.createDataFrame([(i,) for i in target] * 2 + [(None,), (99,)], "doc_id long")
+    got = sorted(map(tuple, lm.score(docs, lm.fit(docs, ids)).collect()), key=str)
+    want = sorted(brute(ROWS, target), key=str)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want):
+        assert g[2:] == pytest.approx(w[2:], abs=2e-4) if w[1] else g[2:] == w[2:]
+
+
+def test_prefers_target_like_texts(spark, make_docs):
+    rows = [(i, "alpha beta gamma delta " * 5) for i in range(20)] + [(100 + i, "red green blue white " * 5) for i in range(20)]
+    docs = make_docs(rows)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, lm.fit(docs, spark.range(0, 10).withColumnRenamed("id", "doc_id"))).collect()}
+    assert max(got[i] for i in range(20)) < 0 < min(got[100 + i] for i in range(20))
+
+
+def test_empty(spark, make_docs):
+    docs = make_docs([])
+    assert lm.score(docs, lm.fit(docs, spark.range(3).withColumnRenamed("id", "doc_id"))).collect() == []
