@@ -1,11 +1,11 @@
 """Run the pipeline's jobs from the command line.
 
-    python -m tessera publish  --events DIR --log DIR
+    python -m tessera publish  --events DIR | --tickets DIR [--format parquet|json|csv] --log DIR
     python -m tessera export   --log DIR | --kafka HOST:PORT [--topic T]
                                --parquet DIR --json DIR --checkpoint DIR
                                [--mode dual|foreach_batch] [--trigger "15 seconds" | --available-now]
                                [--run-seconds N]
-    python -m tessera replay   --log DIR | --kafka HOST:PORT --checkpoint DIR [--out DIR] [--follow]
+    python -m tessera replay   --log DIR | --kafka HOST:PORT --checkpoint DIR [--out DIR | --preview] [--follow]
     python -m tessera analyse  --parquet DIR --json DIR --out DIR [--date-mode lenient|strict|skip]
     python -m tessera load-relational --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
     python -m tessera load-columnar   --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
@@ -24,6 +24,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from tessera.schemas import DEFAULT_TABLE, DEFAULT_TOPIC
+from tessera.sources.kafka import FILES_PER_BATCH, MESSAGES_PER_BATCH
 
 
 def _source(spark: SparkSession, args, starting_offsets: str):
@@ -55,6 +56,23 @@ def _jdbc(args) -> dict | None:
     return options
 
 
+def _tickets(spark: SparkSession, args):
+    """The tickets to publish: a table of them, or those derived from events."""
+    if args.events:
+        from tessera.plans.fixtures import read_table, tickets_from_events
+
+        return tickets_from_events(read_table(spark, args.events, "events"))
+    from tessera.operators.quality import require_columns
+    from tessera.schemas import MESSAGE_FIELDS, MESSAGE_SCHEMA
+    from tessera.sinks.files import read_csv
+    from tessera.sources.files import read_json_dir, read_parquet_dir
+
+    if args.format == "parquet":
+        return require_columns(read_parquet_dir(spark, args.tickets), MESSAGE_FIELDS)
+    read = read_json_dir if args.format == "json" else read_csv
+    return read(spark, args.tickets, MESSAGE_SCHEMA)
+
+
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tessera")
     parser.add_argument("--ui", action="store_true", help="start Spark's web UI (off by default)")
@@ -62,7 +80,10 @@ def build_parser() -> argparse.ArgumentParser:
     sub = parser.add_subparsers(dest="command", required=True)
 
     p = sub.add_parser("publish", help="publish tickets derived from an events table")
-    p.add_argument("--events", required=True, help="folder holding events.parquet")
+    what = p.add_mutually_exclusive_group(required=True)
+    what.add_argument("--tickets", help="folder of tickets to publish, with the message fields as columns")
+    what.add_argument("--events", help="folder holding events.parquet, to derive tickets from")
+    p.add_argument("--format", choices=["parquet", "json", "csv"], default="parquet", help="of the --tickets files")
     p.add_argument("--log", help="message-log folder to append to")
     p.add_argument("--kafka", help="Kafka bootstrap servers")
     p.add_argument("--topic", default=DEFAULT_TOPIC)
@@ -73,8 +94,8 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--text-log", help="folder of JSON-lines message files")
         p.add_argument("--kafka")
         p.add_argument("--topic", default=DEFAULT_TOPIC)
-        p.add_argument("--max-files-per-trigger", type=int)
-        p.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: bound each micro-batch")
+        p.add_argument("--max-files-per-trigger", type=int, default=FILES_PER_BATCH, help="log folders: bound each micro-batch")
+        p.add_argument("--max-offsets-per-trigger", type=int, default=MESSAGES_PER_BATCH, help="Kafka: bound each micro-batch")
         p.add_argument("--min-partitions", type=int, help="Kafka: split topic partitions into more tasks")
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--run-seconds", type=float)
@@ -87,7 +108,8 @@ def build_parser() -> argparse.ArgumentParser:
     export.add_argument("--available-now", action="store_true")
     export.add_argument("--files-per-batch", type=int, help="foreach_batch mode: files per format per micro-batch")
     replay = sub.choices["replay"]
-    replay.add_argument("--out", help="keep replayed tickets as Parquet here instead of printing them")
+    replay.add_argument("--out", help="folder for the replayed tickets (default: CHECKPOINT_records)")
+    replay.add_argument("--preview", action="store_true", help="print the first rows of each micro-batch instead of keeping all")
     replay.add_argument("--follow", action="store_true", help="keep listening for new messages")
     replay.add_argument("--trigger", help="micro-batch interval when following, e.g. '5 seconds'")
 
@@ -96,6 +118,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--json", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--date-mode", choices=["lenient", "strict", "skip"], default="lenient")
+    p.add_argument("--priorities", nargs="+", help="also write the team and priority table with these columns")
 
     for name in ("load-relational", "load-columnar"):
         p = sub.add_parser(name)
@@ -108,7 +131,7 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def _object_store_paths(args) -> list[str]:
-    names = ("log", "text_log", "parquet", "json", "checkpoint", "out", "path", "events")
+    names = ("log", "text_log", "tickets", "parquet", "json", "checkpoint", "out", "path", "events")
     return [v for v in (getattr(args, n, None) for n in names) if isinstance(v, str) and v.startswith("s3a://")]
 
 
@@ -122,10 +145,9 @@ def run(args, spark: SparkSession) -> dict:
         require_endpoint(spark)  # S7: fail early, before any query starts
     ensure_shared_dir(spark)
     if args.command == "publish":
-        from tessera.plans.fixtures import read_table, tickets_from_events
         from tessera.streaming.publish import publish_tickets
 
-        publish_tickets(tickets_from_events(read_table(spark, args.events, "events")), log_path=args.log, bootstrap_servers=args.kafka, topic=args.topic)
+        publish_tickets(_tickets(spark, args), log_path=args.log, bootstrap_servers=args.kafka, topic=args.topic)
         return {"published": True}
     if args.command == "export":
         from tessera.streaming.export import run_export
@@ -145,12 +167,12 @@ def run(args, spark: SparkSession) -> dict:
     if args.command == "replay":
         from tessera.streaming.replay import run_replay
 
-        sink = "parquet" if args.out else "console"
+        sink = "console" if args.preview else "parquet"
         finished = run_replay(
             _source(spark, args, args.starting_offsets),
             args.checkpoint,
             sink=sink,
-            path=args.out,
+            path=args.out or f"{args.checkpoint.rstrip('/')}_records",
             run_seconds=args.run_seconds,
             follow=args.follow,
             trigger=args.trigger,
@@ -159,7 +181,7 @@ def run(args, spark: SparkSession) -> dict:
     if args.command == "analyse":
         from tessera.plans.analyse import analyse
 
-        result = analyse(spark, args.parquet, args.json, args.out, date_mode=args.date_mode)
+        result = analyse(spark, args.parquet, args.json, args.out, date_mode=args.date_mode, priorities=args.priorities)
         return {
             "audit": result.audit,
             "columns": result.columns,

@@ -26,11 +26,17 @@ def parse(text="value", schema=MESSAGE_SCHEMA, strict: bool = False) -> Column:
     """JSON text to a struct of the message schema.
 
     Permissive (default): malformed, empty, truncated, top-level array or null
-    input gives a struct of nulls and the row is kept. Strict: the first bad
-    record fails the job.
+    input gives a struct of nulls and the row is kept. (No option map: with
+    one, Catalyst would not prune the fields that nobody reads.) Strict: the
+    first record that is not a JSON object fails the job; empty, blank and
+    null messages and top-level arrays or scalars included.
     """
-    options = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE"}
-    return F.from_json(_col(text), schema, options)
+    c = _col(text)
+    if not strict:
+        return F.from_json(c, schema)
+    message = F.concat(F.lit("MALFORMED message, no JSON object: "), F.coalesce(c, F.lit("null")))
+    checked = F.when(F.ltrim(c).startswith("{"), c).otherwise(F.raise_error(message).cast("string"))
+    return F.from_json(checked, schema, {"mode": "FAILFAST"})
 
 
 def route_team(request_type="request_type") -> Column:
@@ -77,6 +83,27 @@ def timestamp_text(ts, separator: str = " ") -> Column:
     return F.concat(F.substring(text, 1, 10), F.lit(separator), F.substring(text, 12, 8))
 
 
+def export_time_text(text="created_at", mode: str = "lenient") -> Column:
+    """A ticket time text as the CSV export writes it:
+    ``yyyy-MM-dd HH:mm:ss``, then the fraction in six digits where there is
+    one, then the zone offset where the text has one (``Z`` as ``+00:00``).
+    Null where the text does not parse (``lenient``)."""
+    c = _col(text)
+    value = text_to_timestamp(c, mode).cast("string")
+    fraction = F.substring(value, 20, 7)
+    offset = F.regexp_extract(c, r":\d{2}(?:\.\d+)?\s*([Zz]|[+-]\d{2}(?::?\d{2})?)\s*$", 1)
+    digits = F.rpad(F.regexp_replace(offset, r"[^0-9]", ""), 4, "0")
+    zone = F.when(offset == "", "").when(F.upper(offset) == "Z", "+00:00").otherwise(F.concat(F.substring(offset, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)))
+    return F.concat(F.substring(value, 1, 10), F.lit(" "), F.substring(value, 12, 8), F.when(fraction == "", "").otherwise(F.rpad(fraction, 7, "0")), zone)
+
+
+def time_shape(text="created_at") -> Column:
+    """The form of a time text: digits as 9, a fraction as .f. A column in one
+    format has one shape; the ``skip`` date mode asks for that."""
+    plain = F.regexp_replace(_col(text), r"\.\d+", ".f")
+    return F.regexp_replace(F.regexp_replace(plain, r"\d", "9"), r"[+-]99:?99$", "+9999")
+
+
 def calendar_day(ts) -> Column:
     """Calendar date of a timestamp (P10)."""
     return F.to_date(_col(ts))

@@ -15,15 +15,16 @@ def union_by_name(frames, allow_missing: bool = True) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
-def sort_for_storage(df: DataFrame, column: str = "created_at", partitions: int | None = None) -> DataFrame:
+def sort_for_storage(df: DataFrame, column: str = "created_at", tie_breaker: str = "ticket_id", partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by ``column`` so each written file covers
     one slice of it and Parquet min/max statistics can skip row groups.
 
-    The remaining columns follow as tie-breakers. On de-duplicated rows the
-    full key is unique, so one ``column`` value held by a third of all rows
-    is still spread over many range partitions instead of landing in one.
+    ``tie_breaker`` follows in the key, so one ``column`` value held by a third
+    of all rows is still spread over many range partitions instead of landing
+    in one. Two short columns are all that the sampled keys, which pass through
+    the driver, hold of a row.
     """
-    keys = [column] + [c for c in df.columns if c != column]
+    keys = [c for c in (column, tie_breaker) if c in df.columns]
     ordered = [F.col(c).asc_nulls_first() for c in keys]
     parted = df.repartitionByRange(partitions, *ordered) if partitions else df.repartitionByRange(*ordered)
     return parted.sortWithinPartitions(*ordered)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import calendar_day, text_to_timestamp
+from tessera.functions.tickets import calendar_day, text_to_timestamp, time_shape
 from tessera.schemas import SUMMARY_SECTIONS
 
 
@@ -119,26 +119,33 @@ def rejected_dates(df: DataFrame, column: str = "created_at") -> int:
     return int(date_rejects(df, column).first().rejected)
 
 
+def unreadable(counted: DataFrame) -> bool:
+    """For the ``skip`` mode: did the counted groups (``bad``, ``shape_lo``,
+    ``shape_hi``) hold a text that does not parse, or more than one format?"""
+    row = counted.agg(F.sum("bad").alias("bad"), F.min("shape_lo").alias("lo"), F.max("shape_hi").alias("hi")).first()
+    return bool(row.bad) or row.lo != row.hi
+
+
 def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "lenient") -> DataFrame | None:
     """A5: tickets per calendar day, ordered by day.
 
     ``lenient``: text that does not parse is left out (count it with
     ``rejected_dates``). ``strict``: such text fails the job. ``skip``: as
-    the original analysis, any such text means no series at all (returns
-    None) while the rest of the job carries on. In ``skip`` mode the
-    rejected rows are counted in the same aggregation as the days (they form
-    the null-day group), and that small result is checkpointed, so the input
-    is scanned once.
+    the original analysis, any such text, or times in more than one format,
+    means no series at all (returns None) while the rest of the job carries
+    on. In ``skip`` mode the rejected rows are counted in the same
+    aggregation as the days (they form the null-day group), and that small
+    result is checkpointed, so the input is scanned once.
     """
     if mode == "skip":
         day = calendar_day(text_to_timestamp(column, "lenient")).alias("day")
         counted = (
-            df.select(day, _bad_date(column).alias("bad"))
+            df.select(day, _bad_date(column).alias("bad"), time_shape(column).alias("shape"))
             .groupBy("day")
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.min("shape").alias("shape_lo"), F.max("shape").alias("shape_hi"))
             .checkpoint(eager=True)
         )
-        if counted.agg(F.sum("bad")).first()[0]:
+        if unreadable(counted):
             return None
         return counted.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
     ts = text_to_timestamp(column, mode)
@@ -156,16 +163,13 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
-def row_and_file_counts(scan: DataFrame) -> DataFrame:
-    """A6 + A7 in one pass over a file scan: (n_rows, n_files).
+def row_and_file_counts(scan: DataFrame, files: DataFrame) -> DataFrame:
+    """A6 + A7: (n_rows, n_files) of a folder.
 
-    ``scan`` must come straight from a file source so that the hidden
-    ``_metadata`` column is available.
+    ``scan`` reads the folder, ``files`` lists its data files
+    (``sources.files.list_data_files``), so a part file without rows counts.
     """
-    return scan.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
-    )
+    return scan.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_files", F.lit(files.count()).cast("long"))
 
 
 def distribution_summary(df: DataFrame, dimensions=tuple(d for d, _ in SUMMARY_SECTIONS)) -> DataFrame:

@@ -2,35 +2,35 @@
 
 Plan at scale:
 
-1. One shuffle: the distinct rows with their copy counts (``row_copies``)
-   and a ``complete`` flag (no null in the row), written once as a table
-   partitioned by that flag, in the shared folder (``spark.checkpoint.dir``).
-   That cuts the lineage (a lost executor later re-reads files instead of
-   redoing the shuffle) and every later output is a scan of it.
-2. The audit (C9) and the null report (C3-C5) are observed while that
-   table is written: no pass of their own.
-3. The cleaned rows (C6) are the ``complete=true`` partition. One
-   grouping-sets pass over four of their columns gives every report count
-   (A1-A5, A8); that small result is checkpointed and each chart table (K10)
-   and the text summary (K5) is cut from it. The rows are written once as
-   CSV (K4).
+1. One shuffle: the distinct rows with their copy counts (``row_copies``).
+   The audit (C9) and the null report (C3-C5) are observed on them, and the
+   complete rows (C6) go on and are written once, as ``clean_rows`` under the
+   output folder. That is an output of the job and cuts the lineage: a lost
+   executor later re-reads files instead of redoing the shuffle.
+2. One pass over four columns of these rows groups them by priority, request
+   type, team and day together. That small result is checkpointed; every chart
+   table (K10) and the text summary (K5) is rolled up from it.
+3. The rows are written once as CSV (K4).
 
 So the big data is read three times in all: the raw exports (for the
 de-duplication shuffle), and the cleaned rows twice (report counts, CSV).
+The set of outputs does not depend on the data: no rows give a CSV with a
+header only, empty chart tables and a summary without counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import calendar_day, text_to_timestamp, timestamp_text
-from tessera.operators.metrics import TooManyValuesError, pivot_long, rejected_dates
+from tessera.functions.tickets import calendar_day, export_time_text, text_to_timestamp, time_shape
+from tessera.operators.metrics import unreadable
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
-from tessera.session import run_concurrently, scratch_path
+from tessera.session import run_concurrently
 from tessera.sources.files import load_exports
 
 
@@ -45,40 +45,28 @@ class AnalysisResult:
 
 def csv_ready(clean: DataFrame, date_mode: str, any_rejected: bool | None = None) -> DataFrame:
     """Cleaned rows as exported: ``created_at`` rewritten as
-    ``yyyy-MM-dd HH:mm:ss`` when it parses. In ``skip`` mode with any text
-    that does not parse, the original text is kept for every row
+    ``yyyy-MM-dd HH:mm:ss`` with its fraction and zone offset where it has
+    them, when it parses. In ``skip`` mode with any text that does not parse,
+    or more than one format, the original text is kept for every row
     (``any_rejected``, when the caller already knows it, saves a pass)."""
     if date_mode == "skip":
         if any_rejected is None:
-            any_rejected = rejected_dates(clean) > 0
+            any_rejected = unreadable(report_counts(clean, date_mode))
         if any_rejected:
             return clean
-    ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
-    formatted = timestamp_text(ts, " ")
+    formatted = export_time_text("created_at", "strict" if date_mode == "strict" else "lenient")
     return clean.withColumn("created_at", F.coalesce(formatted, F.col("created_at")))
 
 
-# Grouping sets of the one report pass, and the grouping id each gets for the
-# column order (priority, request_type, assigned_team, day): a bit is set for
-# every column the set leaves out, first column highest.
 REPORT_COLUMNS = ("priority", "request_type", "assigned_team", "day")
-REPORT_SETS = {
-    "priority": (["priority"], 0b0111),
-    "request_type": (["request_type"], 0b1011),
-    "assigned_team": (["assigned_team"], 0b1101),
-    "team_priority": (["assigned_team", "priority"], 0b0101),
-    "day": (["day"], 0b1110),
-}
 
 
 def report_counts(clean: DataFrame, date_mode: str) -> DataFrame:
-    """Every count the reports need, in one pass over the cleaned rows.
-
-    Grouping sets over (priority), (request_type), (assigned_team),
-    (assigned_team, priority) and (day); ``bad`` counts time texts that do not
-    parse (they fall in the null-day group). Returns
-    (gid, priority, request_type, assigned_team, day, n, bad): one row per
-    value or pair, a small table.
+    """Every count the reports need, in one pass over the cleaned rows:
+    (priority, request_type, assigned_team, day, n, bad, shape_lo, shape_hi),
+    one row per combination present, a small table. ``bad`` counts time texts
+    that do not parse (they fall in the null-day groups); the shapes tell
+    whether the texts have one format.
     """
     ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
     source = clean.select(
@@ -87,79 +75,71 @@ def report_counts(clean: DataFrame, date_mode: str) -> DataFrame:
         "assigned_team",
         calendar_day(ts).alias("day"),
         (F.col("created_at").isNotNull() & ts.isNull()).alias("bad"),
+        time_shape("created_at").alias("shape"),
     )
-    return source.groupingSets([cols for cols, _ in REPORT_SETS.values()], *REPORT_COLUMNS).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("bad").alias("bad"),
-        F.grouping_id().alias("gid"),
+    return source.groupBy(*REPORT_COLUMNS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.min("shape").alias("shape_lo"), F.max("shape").alias("shape_hi")
     )
 
 
-def _slice(counts: DataFrame, name: str) -> DataFrame:
-    return counts.where(F.col("gid") == REPORT_SETS[name][1])
+def rolled_up(counts: DataFrame, *columns: str) -> DataFrame:
+    """Rows per value (or combination) of ``columns``, nulls left out."""
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return counts.where(present).groupBy(*columns).agg(F.sum("n").alias("n"))
 
 
 def summary_from_counts(counts: DataFrame) -> DataFrame:
     """A8's (dimension, value, n) from the report counts; null values left out."""
-    parts = [
-        _slice(counts, d).select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), "n").where(F.col(d).isNotNull())
-        for d in ("priority", "request_type", "assigned_team")
-    ]
+    parts = [rolled_up(counts, d).select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), "n") for d in ("priority", "request_type", "assigned_team")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str, date_mode: str = "lenient") -> AnalysisResult:
+def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str, date_mode: str = "lenient", priorities=None) -> AnalysisResult:
+    """Run the job. The team and priority counts are written in long form
+    (``team_priority_long``); with ``priorities`` given also as a table with
+    one column for each of them (``team_priority``)."""
     out = out_dir.rstrip("/")
     raw = require_columns(load_exports(spark, parquet_dir, json_dir))  # S5, S6, C1
     columns = raw.columns
 
-    # One shuffle: distinct rows with copy counts (C2), written once. The audit
-    # (C9) and the null report (C3-C5) are observed while that table is
-    # written: the observation sits in the write's result stage, whose task
-    # updates Spark applies exactly once.
-    distinct_path = scratch_path(spark, "analyse-distinct-rows")  # under spark.checkpoint.dir
+    # One shuffle: distinct rows with copy counts (C2). The audit (C9) and the
+    # null report (C3-C5) are observed above it, in the write's result stage,
+    # whose task updates Spark applies exactly once; only complete rows
+    # pass on to the write.
+    clean_path = f"{out}/clean_rows"
     stats = Observation("analyse_distinct_rows")
-    copies = row_copies(raw).withColumn("complete", complete_row(columns))
-    copies.observe(
+    observed_rows = row_copies(raw).observe(
         stats,
         F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("loaded"),
         F.count(F.lit(1)).alias("deduplicated"),
-        F.count_if(F.col("complete")).alias("complete"),
+        F.count_if(complete_row(columns)).alias("complete"),
         *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)],
-    ).write.mode("overwrite").partitionBy("complete").parquet(distinct_path)
+    )
+    observed_rows.where(complete_row(columns)).select(*columns).write.mode("overwrite").parquet(clean_path)
     observed = stats.get
-    audit = {k: int(observed[k]) for k in ("loaded", "deduplicated", "complete")}
-    report = {c: int(observed[f"nulls_{i}"]) for i, c in enumerate(columns) if observed[f"nulls_{i}"] > 0}
-
-    is_complete = F.col("complete").cast("string") == "true"  # partition values come back as text
-    clean = spark.read.parquet(distinct_path).where(is_complete).select(*columns)  # C6: complete=true files only
+    audit = {k: int(observed.get(k) or 0) for k in ("loaded", "deduplicated", "complete")}
+    report = {c: int(observed[f"nulls_{i}"]) for i, c in enumerate(columns) if observed.get(f"nulls_{i}")}
+    clean = spark.read.schema(raw.schema).parquet(clean_path)
     result = AnalysisResult(audit=audit, null_report=report, columns=list(columns))
-    if audit["complete"] == 0:  # C10: nothing left to analyse
-        return result
 
     # One pass for every report count (A1-A5, A8), kept as a small checkpoint.
     counts = report_counts(clean, date_mode).checkpoint(eager=True)
-    day_rows = _slice(counts, "day")
-    any_rejected = bool(day_rows.agg(F.sum("bad")).first()[0]) if date_mode == "skip" else None
-    daily = None
-    if not (date_mode == "skip" and any_rejected):
-        daily = day_rows.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
+    any_rejected = unreadable(counts) if date_mode == "skip" else None
+    daily = None if any_rejected else rolled_up(counts, "day").orderBy("day")
     result.daily_skipped = daily is None
 
     summary = summary_from_counts(counts)
-    by_priority = summary.where(F.col("dimension") == "priority").select(F.col("value").alias("priority"), "n").orderBy(F.desc("n"), "priority")
-    long = _slice(counts, "team_priority").where(F.col("assigned_team").isNotNull() & F.col("priority").isNotNull())
-    long = long.select("assigned_team", "priority", "n")
-    try:
-        team_priority = {"team_priority": pivot_long(long)}
-    except TooManyValuesError:  # too many priorities for columns: the exact long form instead
-        team_priority = {"team_priority_long": long}
+    by_priority = rolled_up(counts, "priority").orderBy(F.desc("n"), "priority")
+    long = rolled_up(counts, "assigned_team", "priority")
+    tables = {"summary": summary, "by_priority": by_priority, "team_priority_long": long, "by_day": daily}
+    if priorities is not None:
+        pivoted = long.groupBy("assigned_team").pivot("priority", list(priorities)).agg(F.sum("n"))
+        tables["team_priority"] = pivoted.na.fill(0, subset=list(priorities))
     charts = f"{out}/charts"
-    tables = {"summary": summary, "by_priority": by_priority, **team_priority, "by_day": daily}
     writes = {name: (lambda df=df, name=name: write_chart_tables({name: df}, charts)) for name, df in tables.items() if df is not None}
     writes["csv"] = lambda: write_csv(csv_ready(clean, date_mode, any_rejected), f"{out}/tickets_csv")  # K4
     writes["summary_txt"] = lambda: write_summary_text(summary, f"{out}/summary_txt")  # K5
     run_concurrently(spark, writes)
     result.paths = {name: f"{charts}/{name}" for name, df in tables.items() if df is not None}
-    result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "distinct_rows": distinct_path})
+    result.paths.update({"csv": f"{out}/tickets_csv", "summary_txt": f"{out}/summary_txt", "clean_rows": clean_path})
     return result

@@ -35,6 +35,12 @@ DASHBOARD_SQL = {
 }
 
 
+def dashboard_over_table(spark: SparkSession, table: DataFrame, name: str) -> DataFrame:
+    """One dashboard statement over a loaded table, which is given to SQL by
+    itself: no view is registered, so none of that name is hidden."""
+    return spark.sql(DASHBOARD_SQL[name].format(table="{loaded}"), loaded=table)
+
+
 def dashboard_query(spark: SparkSession, tickets: DataFrame, name: str, table: str = DEFAULT_TABLE) -> DataFrame:
     tickets.createOrReplaceTempView(table)
     return spark.sql(DASHBOARD_SQL[name].format(table=table))

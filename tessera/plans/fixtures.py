@@ -126,6 +126,14 @@ def tickets_with_bad_dates_from_events(events: DataFrame) -> DataFrame:
     return assign_team(base.withColumn("created_at", created)).select(*ENRICHED_FIELDS)
 
 
+def subsecond_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed tickets whose creation text keeps the event time's fraction."""
+    events = read_table(spark, sf_dir, "events")
+    base = tickets_from_events(events.withColumn("_ts", F.col("ts")), keep=["_ts"])
+    text = F.translate(F.col("_ts").cast("string"), " ", "T")
+    return assign_team(base.withColumn("created_at", text)).select(*ENRICHED_FIELDS)
+
+
 def tickets_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tickets_with_bad_dates_from_events(read_table(spark, sf_dir, "events"))
 
@@ -140,6 +148,7 @@ __all__ = [
     "messages",
     "read_table",
     "routed_tickets",
+    "subsecond_tickets",
     "tickets",
     "tickets_from_events",
     "tickets_with_bad_dates",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.operators.quality import clean_for_warehouse
 from tessera.schemas import DEFAULT_TABLE
 from tessera.sinks.tables import append_columnar, loadable, replace_table
-from tessera.sources.files import list_data_files, load_parquet_exports
+from tessera.sources.files import load_parquet_exports
 
 
 @dataclass
@@ -25,20 +25,14 @@ class LoadResult:
     files: int  # Parquet part files read (A7)
 
 
-def _files(spark: SparkSession, parquet_dir: str) -> int:
-    """A7 from a listing (no file is opened)."""
-    return list_data_files(spark, parquet_dir, "*.parquet").count()
-
-
 def _counted(df: DataFrame, name: str):
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> LoadResult:
+def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE, schema=None) -> LoadResult:
     """Rows written (None when nothing was written) and files read."""
-    df = load_parquet_exports(spark, parquet_dir)  # S3, S6
-    files = _files(spark, parquet_dir)
+    df, files = load_parquet_exports(spark, parquet_dir, schema)  # S3, S6, A7
     if not loadable(df):  # C10, C11
         return LoadResult(None, files)
     counted, obs = _counted(df, "relational_load")
@@ -46,9 +40,10 @@ def load_relational(spark: SparkSession, parquet_dir: str, *, path: str | None =
     return LoadResult(obs.get["rows"], files)
 
 
-def load_columnar(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE) -> LoadResult:
+def load_columnar(spark: SparkSession, parquet_dir: str, *, path: str | None = None, jdbc: dict | None = None, table: str = DEFAULT_TABLE, schema=None) -> LoadResult:
     """Rows appended and files read."""
-    clean = clean_for_warehouse(load_parquet_exports(spark, parquet_dir))  # S3, S6, C8
+    df, files = load_parquet_exports(spark, parquet_dir, schema)  # S3, S6, A7
+    clean = clean_for_warehouse(df)  # C8
     obs = Observation("columnar_load")
     append_columnar(clean, path=path, jdbc=jdbc, table=table, observation=obs)  # O5, K7
-    return LoadResult(obs.get["rows"], _files(spark, parquet_dir))
+    return LoadResult(obs.get["rows"], files)

@@ -87,7 +87,37 @@ _SUMMARY_LINES = f"""summary AS (
     UNION ALL
     SELECT 2, assigned_team, count(*) FROM routed WHERE assigned_team IS NOT NULL GROUP BY assigned_team)"""
 
+_SUBSECOND = f"""SELECT printf('T%010d', event_id) AS ticket_id, printf('C%05d', user_id) AS client_id,
+       CASE WHEN microsecond(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS created_at,
+       request, request_type, priority, {_TEAM} AS assigned_team
+FROM t0 JOIN events ON event_id = _eid"""
+
+_DASHBOARD = {
+    "tickets_by_priority": "SELECT priority, count(*) AS n FROM routed WHERE priority IS NOT NULL GROUP BY 1",
+    "tickets_by_request_type": "SELECT request_type, count(*) AS n FROM routed WHERE request_type IS NOT NULL GROUP BY 1",
+    "tickets_by_team": "SELECT assigned_team, count(*) AS n FROM routed WHERE assigned_team IS NOT NULL GROUP BY 1",
+    "team_priority": "SELECT assigned_team, priority, count(*) AS n FROM routed WHERE assigned_team IS NOT NULL AND priority IS NOT NULL GROUP BY 1, 2",
+    "team_day": f"SELECT assigned_team, {_DAY} AS day, count(*) AS n FROM routed WHERE assigned_team IS NOT NULL AND {_DAY} IS NOT NULL GROUP BY 1, 2",
+}
+
 ORACLE_SQL = {
+    "csv_subsecond": _with(_T0, _SUBSECOND),
+    "rejected_json_lines": "SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 41 = 0) AS rejected FROM events",
+    "fanout_new_checkpoint": _with(
+        _TICKETS,
+        """SELECT f.format, routed.* FROM routed, (VALUES ('parquet'), ('parquet'), ('json'), ('json')) f(format)""",
+    ),
+    "load_after_fanout": _with(_TICKETS, f"SELECT DISTINCT * FROM routed WHERE {' AND '.join(c + ' IS NOT NULL' for c in _ALL.split(', '))}"),
+    "relational_after_fanout": _with(_TICKETS, "SELECT * FROM routed"),
+    "analyse_after_fanout": _with(_TICKETS, f"SELECT DISTINCT * FROM routed WHERE {' AND '.join(c + ' IS NOT NULL' for c in _ALL.split(', '))}"),
+    "analyse_team_priority_long": _with(_DIRTY, "SELECT assigned_team, priority, count(*) AS n FROM clean GROUP BY 1, 2"),
+    "analyse_by_priority": _with(_DIRTY, "SELECT priority, count(*) AS n FROM clean GROUP BY 1"),
+    "any_nulls": _with(
+        _DIRTY + f",\nprofile AS ({_null_rows('distinct_dirty')}),\ncleaned AS ({_null_rows('clean')})",
+        "SELECT 'loaded' AS rows, count(*) > 0 AS any_nulls FROM profile WHERE nulls > 0 UNION ALL SELECT 'clean', count(*) > 0 FROM cleaned WHERE nulls > 0",
+    ),
+    "load_guards": "SELECT 'full' AS load, CASE WHEN count(*) > 0 THEN count(*) END AS rows FROM events UNION ALL SELECT 'no_rows', NULL UNION ALL SELECT 'no_key', NULL",
+    **{f"dashboard_{name}": _with(_TICKETS, sql) for name, sql in _DASHBOARD.items()},
     "parse_messages": _with(_TICKETS, "SELECT * FROM tickets"),
     "route_tickets": _with(_TICKETS, "SELECT * FROM routed"),
     "tickets_by_priority": _with(
@@ -145,7 +175,7 @@ SELECT 'request_type', request_type, count(*) FROM routed WHERE request_type IS
 UNION ALL
 SELECT 'assigned_team', assigned_team, count(*) FROM routed WHERE assigned_team IS NOT NULL GROUP BY assigned_team""",
     ),
-    "row_and_file_counts": "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files FROM events",
+    "row_and_file_counts": "SELECT count(*) AS n_rows, count(DISTINCT coalesce(event_type, '')) + 1 AS n_files FROM events",
     "preview_first": _with(_TICKETS, "SELECT * FROM routed ORDER BY ticket_id LIMIT 5"),
     "distinct_rows": _with(_DIRTY, "SELECT * FROM distinct_dirty"),
     "null_profile": _with(_DIRTY, _null_rows("distinct_dirty")),

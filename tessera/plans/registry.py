@@ -15,12 +15,12 @@ from tessera.operators import layout, metrics, quality
 from tessera.operators.transform import enrich_messages, parse_messages
 from tessera.plans import fixtures as fx
 from tessera.plans.analyse import analyse, csv_ready
-from tessera.plans.dashboard import dashboard_query
+from tessera.plans.dashboard import DASHBOARD_SQL, dashboard_over_table, dashboard_query
 from tessera.plans.loads import load_columnar, load_relational
 from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS, PRIORITIES
 from tessera.session import scratch_path
 from tessera.sinks import files as file_sinks
-from tessera.sources.files import load_exports, read_json_dir, read_parquet_dir
+from tessera.sources.files import json_rejects, list_data_files, load_exports, read_json_dir, read_parquet_dir
 from tessera.sources.kafka import read_message_log, read_message_text_log
 from tessera.streaming.export import run_export
 from tessera.streaming.publish import publish_tickets
@@ -93,7 +93,14 @@ def q_distribution_summary(spark, sf):
 
 
 def q_row_and_file_counts(spark, sf):
-    return metrics.row_and_file_counts(fx.read_table(spark, sf, "events"))
+    """A6 + A7 over a folder with one file per event type and one without rows."""
+    path = scratch_path(spark, "row_and_file_counts")
+    events = fx.read_table(spark, sf, "events")
+    kinds = [r[0] for r in events.select("event_type").distinct().collect()]  # a handful
+    for kind in kinds:
+        events.where(F.col("event_type").eqNullSafe(F.lit(kind))).coalesce(1).write.mode("append").parquet(path)
+    events.where("false").coalesce(1).write.mode("append").parquet(path)
+    return metrics.row_and_file_counts(read_parquet_dir(spark, path), list_data_files(spark, path, "*.parquet"))
 
 
 def q_preview_first(spark, sf):
@@ -162,6 +169,24 @@ def q_csv_roundtrip(spark, sf):
     return file_sinks.read_csv(spark, path, ENRICHED_SCHEMA)
 
 
+def q_csv_subsecond(spark, sf):
+    """K4: times with their fractions, through CSV and back."""
+    path = scratch_path(spark, "csv_subsecond")
+    file_sinks.write_csv(csv_ready(fx.subsecond_tickets(spark, sf), "lenient"), path)
+    return file_sinks.read_csv(spark, path, ENRICHED_SCHEMA)
+
+
+def q_rejected_json_lines(spark, sf):
+    """JSON Lines with every 41st line cut off; how many are no object."""
+    path = scratch_path(spark, "rejected_json_lines")
+    events = fx.read_table(spark, sf, "events")
+    rows = fx.tickets_from_events(events, keep=["event_id"])
+    line = F.to_json(F.struct(*MESSAGE_FIELDS))
+    cut = F.when(F.col("event_id") % 41 == 0, F.expr("substring(line, 1, 20)")).otherwise(F.col("line"))
+    rows.withColumn("line", line).select(cut.alias("value")).write.text(path)
+    return json_rejects(spark, path)
+
+
 def q_format_fallback(spark, sf):
     """No Parquet export present, so the JSON export is read."""
     root = scratch_path(spark, "format_fallback")
@@ -218,6 +243,46 @@ def q_stream_restart(spark, sf):
     return read_parquet_dir(spark, f"{root}/parquet").select(*ENRICHED_FIELDS)
 
 
+def _fanned_out(spark, sf, root, exports):
+    """Every ticket exported ``exports`` times, each time by a new export job
+    with a checkpoint of its own into the same folders."""
+    log = _published_log(spark, sf, root)
+    for i in range(exports):
+        run_export(read_message_log(spark, log), f"{root}/parquet", f"{root}/json", f"{root}/ckpt{i}", mode="foreach_batch", available_now=True)
+
+
+def q_fanout_new_checkpoint(spark, sf):
+    """K3: an export with a new checkpoint adds to the older output."""
+    root = scratch_path(spark, "fanout_new_checkpoint")
+    _fanned_out(spark, sf, root, 2)
+    return read_parquet_dir(spark, f"{root}/parquet").withColumn("format", F.lit("parquet")).unionByName(read_json_dir(spark, f"{root}/json").withColumn("format", F.lit("json")))
+
+
+def q_load_after_fanout(spark, sf):
+    """J4 over an export that holds every ticket twice: each is loaded once,
+    with the export's columns and no other."""
+    root = scratch_path(spark, "load_after_fanout")
+    _fanned_out(spark, sf, root, 2)
+    load_columnar(spark, f"{root}/parquet", path=f"{root}/table")
+    return spark.read.parquet(f"{root}/table")
+
+
+def q_relational_after_fanout(spark, sf):
+    """J3 over a fan-out export: its rows and columns as they are."""
+    root = scratch_path(spark, "relational_after_fanout")
+    _fanned_out(spark, sf, root, 1)
+    load_relational(spark, f"{root}/parquet", path=f"{root}/table")
+    return spark.read.parquet(f"{root}/table")
+
+
+def q_analyse_after_fanout(spark, sf):
+    """J2 over the JSON files of an export that holds every ticket twice."""
+    root = scratch_path(spark, "analyse_after_fanout")
+    _fanned_out(spark, sf, root, 2)
+    result = analyse(spark, f"{root}/no-parquet", f"{root}/json", f"{root}/out")
+    return spark.read.parquet(result.paths["clean_rows"])
+
+
 def q_stream_text_log(spark, sf):
     """J1 from a folder of JSON-lines message files instead of a byte log."""
     root = scratch_path(spark, "stream_text_log")
@@ -277,7 +342,7 @@ def q_sorted_table_range(spark, sf):
 def _analysed(spark, sf, name):
     root = scratch_path(spark, name)
     export = _exported_dirty(spark, sf, root)
-    return analyse(spark, export, f"{root}/json", f"{root}/out", date_mode="lenient")
+    return analyse(spark, export, f"{root}/json", f"{root}/out", date_mode="lenient", priorities=["critical", *sorted(PRIORITIES)])
 
 
 def q_analyse_csv(spark, sf):
@@ -292,11 +357,40 @@ def q_analyse_by_day(spark, sf):
 
 
 def q_analyse_team_priority(spark, sf):
-    """J2 end to end; the team x priority chart table (priorities present,
-    the unknown ``critical`` included) read back."""
+    """J2 end to end; the team x priority chart table of the given priorities
+    (the unknown ``critical`` included) read back."""
     return spark.read.parquet(_analysed(spark, sf, "analyse_team_priority").paths["team_priority"])
 
 
+def q_analyse_team_priority_long(spark, sf):
+    """J2 end to end; the team and priority counts in long form read back."""
+    return spark.read.parquet(_analysed(spark, sf, "analyse_team_priority_long").paths["team_priority_long"])
+
+
+def q_analyse_by_priority(spark, sf):
+    """J2 end to end; the priority chart table read back."""
+    return spark.read.parquet(_analysed(spark, sf, "analyse_by_priority").paths["by_priority"])
+
+
+def q_any_nulls(spark, sf):
+    """C4 on the dirty and on the cleaned rows, in one small table."""
+    dirty = fx.dirty_tickets(spark, sf)
+    some = lambda df: quality.affected_columns(quality.null_profile(df)).agg((F.count(F.lit(1)) > 0).alias("any_nulls"))
+    return some(dirty).withColumn("rows", F.lit("loaded")).unionByName(some(quality.clean_for_analysis(dirty)).withColumn("rows", F.lit("clean")))
+
+
+def q_load_guards(spark, sf):
+    """What J3 wrote for a full export, one without rows and one
+    without the key column (rows, or null where a guard stopped the load)."""
+    root = scratch_path(spark, "load_guards")
+    tickets = fx.routed_tickets(spark, sf)
+    cases = {"full": tickets, "no_rows": tickets.where("false"), "no_key": tickets.drop("ticket_id")}
+    for name, df in cases.items():
+        file_sinks.write_parquet(df, f"{root}/{name}")
+    rows = {name: load_relational(spark, f"{root}/{name}", path=f"{root}/table_{name}").rows for name in cases}
+    return spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("load"), F.lit(v).cast("long").alias("rows")) for k, v in rows.items()])))
+
+
 # --- SQL and reports -----------------------------------------------------------------
 
 
@@ -304,6 +398,17 @@ def q_dashboard_sql(spark, sf):
     return dashboard_query(spark, fx.routed_tickets(spark, sf), "team_day")
 
 
+def _dashboard(name):
+    def run(spark, sf):
+        root = scratch_path(spark, f"dashboard_{name}")
+        file_sinks.write_parquet(fx.routed_tickets(spark, sf), f"{root}/export")
+        load_relational(spark, f"{root}/export", path=f"{root}/table")
+        return dashboard_over_table(spark, spark.read.parquet(f"{root}/table"), name)
+
+    run.__name__, run.__doc__ = f"q_dashboard_{name}", f"J7: the {name} statement over the table that J3 loaded."
+    return run
+
+
 def q_summary_text(spark, sf):
     """K5: the text summary written and read back (lines; order is checked in tests)."""
     path = scratch_path(spark, "summary_text")
@@ -353,4 +458,15 @@ QUERIES = {
     "analyse_team_priority": q_analyse_team_priority,
     "dashboard_sql": q_dashboard_sql,
     "summary_text": q_summary_text,
+    "csv_subsecond": q_csv_subsecond,
+    "rejected_json_lines": q_rejected_json_lines,
+    "fanout_new_checkpoint": q_fanout_new_checkpoint,
+    "load_after_fanout": q_load_after_fanout,
+    "relational_after_fanout": q_relational_after_fanout,
+    "analyse_after_fanout": q_analyse_after_fanout,
+    "analyse_team_priority_long": q_analyse_team_priority_long,
+    "analyse_by_priority": q_analyse_by_priority,
+    "any_nulls": q_any_nulls,
+    "load_guards": q_load_guards,
+    **{f"dashboard_{name}": _dashboard(name) for name in DASHBOARD_SQL},
 }

@@ -49,16 +49,25 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def is_local(master: str) -> bool:
+    """One machine and one process: ``local``, ``local[N]``, ``local[*]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_shared_dir(spark: SparkSession) -> str:
     """Return the shared folder; create a local one only when none is set.
 
     The local fallback is for single-machine runs (tests, the bench). On a
     cluster ``spark.checkpoint.dir`` names a distributed folder and is used
-    as it is.
+    as it is; without it there is no folder that all executors share, which
+    is an error.
     """
     existing = _checkpoint_dir(spark)
     if existing:
         return existing
+    master = spark.conf.get("spark.master", "")
+    if not is_local(master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master!r} is not local)")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)
@@ -87,17 +96,17 @@ def run_concurrently(spark: SparkSession, actions: dict) -> None:
         future.result()
 
 
-def scale_settings(input_bytes: int, target_partition_bytes: int = 512 << 20, min_partitions: int = 200, max_partitions: int = 200_000) -> dict:
+def scale_settings(input_bytes: int, target_partition_bytes: int = 512 << 20, min_partitions: int = 200) -> dict:
     """Runtime SQL settings sized for ``input_bytes`` of exported tickets.
 
     The de-duplication shuffle moves about the input's size, so the shuffle
     starts with enough partitions for ``target_partition_bytes`` each (a
     reduce task's hash map then fits in executor memory); adaptive execution
-    merges the small ones at run time. 100 TB gives the 200,000 cap, about
-    0.5 GB per task. Input splits stay at the default 128 MB. All keys can be
+    merges the small ones at run time. 100 TB gives about 190,000 tasks; more
+    input gives more tasks, not larger ones. Input splits stay at the default 128 MB. All keys can be
     set on a running session.
     """
-    partitions = max(min_partitions, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    partitions = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -38,14 +38,15 @@ def replace_table(
     path: str | None = None,
     jdbc: dict | None = None,
     table: str = DEFAULT_TABLE,
-    truncate: bool = True,
+    truncate: bool = False,
     guard: bool = True,
 ) -> bool:
     """K6: replace the table with ``df`` as it is (no cleaning).
 
     Nothing is written when ``df`` is empty (C10) or lacks ``ticket_id``
     (C11); returns whether a write happened. Write errors propagate.
-    ``truncate`` keeps the JDBC table definition instead of dropping it.
+    A JDBC table is dropped and made anew, definition included; ``truncate``
+    keeps its definition instead.
     ``guard=False`` skips the checks when the caller has made them.
     """
     if guard and not loadable(df):

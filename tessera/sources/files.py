@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.schemas import ENRICHED_SCHEMA
 
@@ -24,24 +25,41 @@ def _missing_path(exc: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
-def read_parquet_dir(spark: SparkSession, path, merge_schema: bool = True) -> DataFrame:
+def read_parquet_dir(spark: SparkSession, path, merge_schema: bool = True, schema=None) -> DataFrame:
     """S3: all Parquet part files of one or more folders as one table.
 
     ``mergeSchema`` gives the union of the files' columns, null where a file
-    lacks one, as concatenating per-file frames would.
+    lacks one, as concatenating per-file frames would (one distributed pass
+    over the footers). With an explicit ``schema`` no footer is read up front.
+    Folder names such as ``batch_id=3`` are no columns, and nested folders are
+    read as the listing (``list_data_files``) lists them.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge_schema).lower())
+    return reader.parquet(*paths)
 
 
-def read_json_dir(spark: SparkSession, path, schema=ENRICHED_SCHEMA) -> DataFrame:
+def read_json_dir(spark: SparkSession, path, schema=ENRICHED_SCHEMA, mode: str = "PERMISSIVE") -> DataFrame:
     """JSON Lines part files with an explicit schema.
 
     The schema keeps every field a string (no guessing of numbers or dates)
     and restores columns the JSON writer left out because they were null.
+    A corrupt line gives a row of nulls (``PERMISSIVE``; ``json_rejects``
+    counts them) or fails the job (``FAILFAST``).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).json(paths)
+    return spark.read.schema(schema).options(mode=mode, recursiveFileLookup="true").json(paths)
+
+
+def json_rejects(spark: SparkSession, path, schema=ENRICHED_SCHEMA) -> DataFrame:
+    """One row, ``lines`` and ``rejected``: lines of JSON part files, and those
+    that are no JSON object. (Blank lines are no records and do not count.)"""
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).where(F.trim("value") != "")
+    marked = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = F.from_json("value", marked, {"columnNameOfCorruptRecord": "_corrupt"})
+    return lines.select(parsed["_corrupt"].isNotNull().alias("bad")).agg(F.count(F.lit(1)).alias("lines"), F.count_if("bad").alias("rejected"))
 
 
 def list_data_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -72,28 +90,32 @@ def has_data_files(spark: SparkSession, path: str, pattern: str) -> bool:
         return False
 
 
-def load_exports(spark: SparkSession, parquet_dir: str, json_dir: str, schema=ENRICHED_SCHEMA) -> DataFrame:
+def load_exports(spark: SparkSession, parquet_dir: str, json_dir: str, schema=ENRICHED_SCHEMA, json_mode: str = "FAILFAST") -> DataFrame:
     """S5 + S6: the exported tickets, Parquet first, else JSON, else an error.
 
     Raises ``NoDataError`` (a ``FileNotFoundError``) when neither folder holds
     a data file; a missing folder counts as empty here, as the original
     loader creates both folders before looking.
 
-    Both formats are read with the explicit ticket schema: no footer-merging
-    pass over every Parquet file, and a column absent from some files is
-    still null there. Partition folders (``batch_id=N``) are dropped.
+    Parquet files keep all their own columns, so a column that no file has is
+    missing and not null, and rows that differ in an extra column stay apart.
+    JSON files are read with the explicit ``schema`` (the JSON writer leaves
+    null fields out), and a corrupt line fails the job unless ``json_mode``
+    says otherwise. Export folders (``batch_id=N``) give no column.
     """
     if has_data_files(spark, parquet_dir, "*.parquet"):
-        return spark.read.schema(schema).parquet(parquet_dir).select(*[F.col(f.name) for f in schema.fields])
+        return read_parquet_dir(spark, parquet_dir)
     if has_data_files(spark, json_dir, "*.json"):
-        return read_json_dir(spark, json_dir, schema)
+        return read_json_dir(spark, json_dir, schema, json_mode)
     raise NoDataError(f"no .parquet file in {parquet_dir} and no .json file in {json_dir}")
 
 
-def load_parquet_exports(spark: SparkSession, parquet_dir: str) -> DataFrame:
-    """S3 + S6 as the database loaders use it: a missing folder and an empty
-    folder are two distinct errors."""
-    if not has_data_files(spark, parquet_dir, "*.parquet"):
-        list_data_files(spark, parquet_dir, "*.parquet")  # raises if the folder is missing
+def load_parquet_exports(spark: SparkSession, parquet_dir: str, schema=None) -> tuple[DataFrame, int]:
+    """S3 + S6 + A7 as the database loaders use it: the rows, and the number
+    of files from the same listing. A missing folder and an empty folder are
+    two distinct errors. ``schema`` saves the pass over the footers where the
+    caller knows the files' columns."""
+    files = list_data_files(spark, parquet_dir, "*.parquet").count()  # raises if the folder is missing
+    if not files:
         raise NoDataError(f"no .parquet file in {parquet_dir}")
-    return read_parquet_dir(spark, parquet_dir)
+    return read_parquet_dir(spark, parquet_dir, schema=schema), files

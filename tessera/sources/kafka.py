@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.schemas import DEFAULT_TOPIC, MESSAGE_LOG_SCHEMA
 
 
+# A backlog is read in several micro-batches of this size instead of one huge
+# one (nothing is left out; ``None`` lifts the bound).
+MESSAGES_PER_BATCH = 50_000_000
+FILES_PER_BATCH = 10_000
+
+
 def kafka_options(
     bootstrap_servers: str,
     topic: str = DEFAULT_TOPIC,
@@ -52,7 +58,7 @@ def read_topic(
     topic: str = DEFAULT_TOPIC,
     starting_offsets: str = "latest",
     extra=None,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MESSAGES_PER_BATCH,
     min_partitions: int | None = None,
 ) -> DataFrame:
     """A streaming read of a Kafka topic."""
@@ -60,7 +66,7 @@ def read_topic(
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def read_message_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_message_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """A folder of Parquet files with ``key`` and ``value`` bytes, read as a stream.
 
     New files are picked up as they appear; progress is remembered by the
@@ -72,7 +78,7 @@ def read_message_log(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.parquet(path)
 
 
-def read_message_text_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_message_text_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
     """A folder of JSON-lines files, one message per line, read as a stream.
 
     Gives a ``value`` column of text; parsing accepts text as well as bytes.

@@ -28,8 +28,11 @@ def await_queries(queries, run_seconds: float | None = None, poll_seconds: float
     deadline = None if run_seconds is None else time.monotonic() + run_seconds
     try:
         while True:
-            _raise_first_failure(queries)
+            # First who still runs, then who failed: a query that ends between
+            # the two lines is seen as running and its failure in this round
+            # or the next, never missed.
             running = [q for q in queries if q.isActive]
+            _raise_first_failure(queries)
             if not running:
                 return True
             if deadline is not None and time.monotonic() >= deadline:

@@ -10,14 +10,19 @@ Two fan-out modes (K3):
                    twice and the two outputs may start at different offsets.
 ``foreach_batch``  one query reads each micro-batch once and writes both
                    formats. File writes inside ``foreachBatch`` are
-                   at-least-once, so every batch goes to its own
-                   ``batch_id=N`` folder with overwrite: a batch replayed after
-                   a failure replaces its own earlier output, never duplicates.
+                   at-least-once, so every batch goes to a folder of its own,
+                   ``query=ID/batch_id=N``, with overwrite: a batch replayed
+                   after a failure replaces its own earlier output, never
+                   duplicates. The id is the streaming query's, kept in its
+                   checkpoint: an export with a new checkpoint, whose batches
+                   count from 0 again, adds to the older output.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.transform import enrich_messages
 from tessera.session import run_concurrently
@@ -41,25 +46,29 @@ def _file_query(df: DataFrame, fmt: str, path: str, checkpoint: str, trigger, av
     return with_trigger(writer, trigger, available_now).start()
 
 
-def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_path: str, files_per_batch: int | None = None) -> None:
-    """One micro-batch to both formats, idempotently (see module doc). The two
-    writes read the cached batch and run side by side.
+def checkpoint_query_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The streaming query's id, which lives in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def write_batch_both(batch: DataFrame, batch_id: int, parquet_path: str, json_path: str, files_per_batch: int | None = None, query_id: str | None = None) -> None:
+    """One micro-batch to both formats, idempotently (see module doc). The
+    batch is parsed once, at full parallelism, into the cache; the two writes
+    read the cached batch and run side by side.
 
     ``files_per_batch`` bounds the files each format gets per batch (against
-    many small files on object stores): the batch is first computed and
-    cached at full parallelism, and only the writes are narrowed.
+    many small files on object stores): only the writes are narrowed.
     """
+    folder = f"batch_id={batch_id}" if query_id is None else f"query={query_id}/batch_id={batch_id}"
     batch.persist()
     try:
-        out = batch
-        if files_per_batch:
-            batch.count()  # parse at full parallelism into the cache
-            out = batch.coalesce(files_per_batch)
+        batch.count()
+        out = batch.coalesce(files_per_batch) if files_per_batch else batch
         run_concurrently(
             batch.sparkSession,
             {
-                "parquet": lambda: out.write.mode("overwrite").parquet(f"{parquet_path}/batch_id={batch_id}"),
-                "json": lambda: out.write.mode("overwrite").json(f"{json_path}/batch_id={batch_id}"),
+                "parquet": lambda: out.write.mode("overwrite").parquet(f"{parquet_path}/{folder}"),
+                "json": lambda: out.write.mode("overwrite").json(f"{json_path}/{folder}"),
             },
         )
     finally:
@@ -92,8 +101,12 @@ def start_export(
         return [first, second]
     if mode == "foreach_batch":
 
+        ids: list[str] = []
+
         def sink(batch: DataFrame, batch_id: int) -> None:
-            write_batch_both(batch, batch_id, parquet_path, json_path, files_per_batch)
+            if not ids:
+                ids.append(checkpoint_query_id(batch.sparkSession, checkpoint_path))
+            write_batch_both(batch, batch_id, parquet_path, json_path, files_per_batch, ids[0])
 
         writer = enriched.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_path)
         if name:

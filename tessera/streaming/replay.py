@@ -21,19 +21,19 @@ def replay_stream(source: DataFrame, strict: bool = True) -> DataFrame:
 def start_replay(
     source: DataFrame,
     checkpoint_path: str,
-    sink: str = "console",
+    sink: str = "parquet",
     path: str | None = None,
     strict: bool = True,
     trigger: str | None = None,
     available_now: bool = True,
-    num_rows: int = 20,
+    preview_rows: int = 20,
 ):
-    """K9: show each arriving record on the console, or keep them in a
-    Parquet folder (``sink="parquet"``)."""
+    """K9: keep every arriving record in a Parquet folder, or, as a preview,
+    print the first ``preview_rows`` of each micro-batch on the console."""
     parsed = replay_stream(source, strict)
     writer = parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
     if sink == "console":
-        writer = writer.format("console").option("truncate", "false").option("numRows", str(num_rows))
+        writer = writer.format("console").option("truncate", "false").option("numRows", str(preview_rows))
     elif sink == "parquet":
         if not path:
             raise ValueError("a parquet replay needs a path")
@@ -46,7 +46,7 @@ def start_replay(
 def run_replay(
     source: DataFrame,
     checkpoint_path: str,
-    sink: str = "console",
+    sink: str = "parquet",
     path: str | None = None,
     strict: bool = True,
     run_seconds: float | None = None,

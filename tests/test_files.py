@@ -11,6 +11,7 @@ from tessera.plans import fixtures as fx
 from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA
 from tessera.sinks import read_csv, write_csv, write_json, write_parquet, write_summary_text
 from tessera.sources import NoDataError, list_data_files, load_exports, load_parquet_exports, read_json_dir, read_parquet_dir
+from tessera.sources.files import json_rejects
 
 SCHEMA7 = ", ".join(f"{c} string" for c in ENRICHED_FIELDS)
 
@@ -120,3 +121,24 @@ def test_summary_text_in_order(spark, sf01, scratch):
     assert lines[6] == "Types de requêtes :"
     assert "Équipes assignées :" in lines
     assert lines[-1] == ""
+
+
+def test_corrupt_json_lines_are_counted_or_fail(spark, scratch):
+    import os
+
+    os.makedirs(f"{scratch}/j/deep")
+    with open(f"{scratch}/j/deep/part-0.json", "w", encoding="utf-8") as out:
+        out.write('{"ticket_id": "t1"}\n\n{"ticket_id": "t\n[1\n{}\n')
+    row = json_rejects(spark, f"{scratch}/j").first()
+    assert (row.lines, row.rejected) == (4, 2)
+    assert read_json_dir(spark, f"{scratch}/j").count() == 4
+    with pytest.raises(Exception):
+        load_exports(spark, f"{scratch}/p", f"{scratch}/j").collect()
+
+
+def test_folder_names_are_no_columns(spark, scratch):
+    for i in range(2):
+        spark.createDataFrame([("t1", 7)], "ticket_id string, batch_id int").write.parquet(f"{scratch}/p/batch_id={i}")
+    got = load_parquet_exports(spark, f"{scratch}/p")
+    assert got[0].columns == ["ticket_id", "batch_id"] and got[1] == len(glob.glob(f"{scratch}/p/*/part-*.parquet"))
+    assert {r.batch_id for r in got[0].collect()} == {7}  # a real column of that name stays

@@ -55,6 +55,6 @@ def test_scale_settings():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert small["spark.sql.adaptive.enabled"] == "true"
     hundred_tb = scale_settings(100 << 40)
-    assert hundred_tb["spark.sql.shuffle.partitions"] == "200000"  # the cap: about 0.5 GB per task
+    assert hundred_tb["spark.sql.shuffle.partitions"] == "204800"  # 0.5 GB per task
     one_tb = scale_settings(1 << 40)
     assert one_tb["spark.sql.shuffle.partitions"] == str((1 << 40) // (512 << 20))

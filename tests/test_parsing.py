@@ -55,6 +55,21 @@ def test_strict_parse_fails_on_bad_message(spark):
     assert "MALFORMED" in str(info.value).upper()
 
 
+@pytest.mark.parametrize("bad", ["", "  ", "\n", "[1]", "5", "null", '"text"', '{"ticket_id": ', "not json", None])
+def test_strict_parse_fails_on_what_is_no_object(spark, bad):
+    df = spark.createDataFrame([(bytearray(FULL.encode()),), (None if bad is None else bytearray(bad.encode()),)], "value binary")
+    with pytest.raises(Exception) as info:
+        parse_messages(df, strict=True).collect()
+    assert "MALFORMED" in str(info.value).upper()
+    assert parse_messages(df).count() == 2
+
+
+def test_permissive_parse_reads_only_the_fields_asked_for(spark, corpus):
+    plan = parse_messages(corpus).groupBy("request_type").count()._jdf.queryExecution().optimizedPlan().toString()
+    parsed = [line for line in plan.splitlines() if "from_json" in line]
+    assert parsed and "request_type" in parsed[0] and "client_id" not in parsed[0]
+
+
 def test_routing_is_exact(spark):
     df = spark.createDataFrame(
         [("support",), ("facturation",), ("technique",), ("commercial",), ("Support",), ("signup",), (None,), ("",)],

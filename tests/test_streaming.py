@@ -99,8 +99,8 @@ def test_dual_mode_keeps_one_checkpoint_per_sink(spark, scratch, log):
 def test_foreach_batch_bounds_files_per_batch(spark, sf001, scratch):
     batch = fx.routed_tickets(spark, sf001).repartition(6)
     write_batch_both(batch, 0, f"{scratch}/p", f"{scratch}/j", files_per_batch=2)
-    assert len(glob.glob(f"{scratch}/p/batch_id=0/part-*.parquet")) <= 2
-    assert len(glob.glob(f"{scratch}/j/batch_id=0/part-*.json")) <= 2
+    assert len(glob.glob(f"{scratch}/p/query=*/batch_id=0/part-*.parquet")) <= 2
+    assert len(glob.glob(f"{scratch}/j/query=*/batch_id=0/part-*.json")) <= 2
     assert read_parquet_dir(spark, f"{scratch}/p").count() == 1000
 
 
@@ -128,3 +128,60 @@ def test_text_message_log_stream(spark, sf001, scratch):
     assert out.count() == 1002
     assert rows_of(out.where("ticket_id IS NOT NULL")) == rows_of(fx.routed_tickets(spark, sf001))
     assert out.where("ticket_id IS NULL AND assigned_team = 'Equipe Générique'").count() == 2
+
+
+def test_new_checkpoint_adds_to_older_output(spark, sf001, scratch):
+    publish_tickets(fx.tickets(spark, sf001), log_path=f"{scratch}/log")
+    for i in range(2):
+        run_export(read_message_log(spark, f"{scratch}/log"), f"{scratch}/p", f"{scratch}/j", f"{scratch}/ck{i}", mode="foreach_batch", available_now=True)
+    assert read_parquet_dir(spark, f"{scratch}/p").count() == 2000
+    assert read_parquet_dir(spark, f"{scratch}/p").columns == read_json_dir(spark, f"{scratch}/j").columns
+
+
+def test_replayed_batch_replaces_its_output(spark, sf001, scratch):
+    batch = fx.routed_tickets(spark, sf001)
+    for _ in range(2):
+        write_batch_both(batch, 3, f"{scratch}/p", f"{scratch}/j", query_id="q")
+    assert read_parquet_dir(spark, f"{scratch}/p").count() == 1000
+
+
+def test_each_message_is_parsed_once_per_batch(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+
+    batch = spark.createDataFrame(spark.range(50).selectExpr("string(id) AS ticket_id").rdd.mapPartitions(count), "ticket_id string")
+    write_batch_both(batch, 0, f"{scratch}/p", f"{scratch}/j")
+    assert seen.value == 50
+
+
+class _Query:
+    """A stand-in for a streaming query whose states are given in turn."""
+
+    def __init__(self, states, error=None):
+        self.states, self.error, self.stopped = list(states), error, False
+
+    @property
+    def isActive(self):
+        return self.states.pop(0) if len(self.states) > 1 else self.states[0]
+
+    def exception(self):
+        return self.error
+
+    def awaitTermination(self, seconds):
+        return None
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_failure_is_never_missed():
+    # ends with an error between two looks at it
+    for states in ([True, False], [False], [True, True, False], [True, True, True, False]):
+        other = _Query([True])
+        with pytest.raises(RuntimeError):
+            await_queries([_Query(states, RuntimeError("failed")), other], poll_seconds=0)
+        assert other.stopped
