@@ -116,7 +116,8 @@ class Model:
 def fit(docs: DataFrame, target_ids: DataFrame) -> Model:
     """Count all of ``docs``; those whose doc_id is in ``target_ids`` (doc_id) are the target."""
     wanted = target_ids.select(F.col("doc_id").cast("long").alias("__target")).where(F.col("__target").isNotNull()).distinct()
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("__target"), "left")
+    # Labels grow with the texts, so they are never broadcast: one plan at every size.
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), F.col("doc_id") == F.col("__target"), "left")
     counted = marked.select("text", F.col("__target").isNotNull().alias("target")).mapInArrow(_count_task, _COUNTS)
     summed = counted.repartition("block", "part").mapInArrow(_sum_task, _COUNTS).repartition("block").mapInArrow(_sum_task, _COUNTS)
     counts = np.zeros((2, 2 * (1 << WORD_BITS) + (1 << PAIR_BITS)), np.int64)
