@@ -17,6 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import scratch_path
 
+#: The words of column ``text`` as a list, in DuckDB SQL (for the oracles).
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 #: Bytes of text that one round of array work takes (a longer text goes alone).
 SLICE_BYTES = 2 << 20
 SLICE_ROWS = 1 << 15

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, stored, table, text_slices, word_hashes
+from tessera.llm.common import WORDS_SQL, Words, stored, table, text_slices, word_hashes
 
 WINDOW_WORDS = 10
 #: Words a term may be off its place in a proximity match.
@@ -233,4 +233,24 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
 
 
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The contract's columns (proximity matches are in ``contamination``)."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near_items")
+
+
+#: The query's contract in DuckDB SQL.
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {WORDS_SQL} AS w FROM benchmark),
+bn AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item, n, unnest(list_transform(generate_series(1, len(w) - n + 1), lambda i: array_to_string(w[i : i + n - 1], ' '))) AS win
+  FROM bn
+), lengths AS (SELECT DISTINCT n FROM bw),
+di AS (SELECT r, n, w, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lengths),
+hits AS (SELECT DISTINCT r, i, di.n, item FROM di JOIN bw ON di.n = bw.n AND array_to_string(w[i : i + di.n - 1], ' ') = win),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY r),
+found AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (r) LEFT JOIN found USING (r)
+"""

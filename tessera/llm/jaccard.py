@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, mix, stored, table, text_slices
+from tessera.llm.common import WORDS_SQL, Words, mix, stored, table, text_slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -297,3 +297,23 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "group_id", "n_links", "n_similar")
+
+
+#: The same join by common shingles in DuckDB SQL.
+OP2_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+s AS (
+  SELECT r, doc_id, unnest(list_distinct(list_transform(generate_series(1, greatest(1, len(w) - 4)), lambda i: array_to_string(w[i : i + 4], ' ')))) AS g
+  FROM d WHERE len(w) > 0
+), sets AS (SELECT r, doc_id, count(*) AS n, md5(string_agg(g, '|' ORDER BY g)) AS k FROM s GROUP BY r, doc_id),
+classes AS (SELECT k, any_value(n) AS n, min(doc_id) AS class_id, count(*) AS copies, min(r) AS first FROM sets GROUP BY k),
+cs AS (SELECT k, g FROM s JOIN classes ON r = first),
+pairs AS (SELECT a.k AS ka, b.k AS kb, count(*) AS c FROM cs a JOIN cs b ON a.g = b.g AND a.k <> b.k GROUP BY 1, 2),
+links AS (SELECT ka, kb, y.copies FROM pairs JOIN classes x ON x.k = ka JOIN classes y ON y.k = kb WHERE 5 * c >= 4 * (x.n + y.n - c)),
+reach AS (SELECT k, k AS m FROM classes UNION SELECT reach.k, kb FROM reach JOIN links ON m = ka),
+groups AS (SELECT reach.k, min(class_id) AS group_id FROM reach JOIN classes ON classes.k = m GROUP BY 1),
+counts AS (SELECT ka AS k, count(*) AS n_links, sum(copies) AS docs FROM links GROUP BY 1)
+SELECT d.doc_id, CASE WHEN k IS NULL THEN d.doc_id ELSE class_id END AS class_id, CASE WHEN k IS NULL THEN d.doc_id ELSE group_id END AS group_id,
+       coalesce(n_links, 0) AS n_links, CAST(coalesce(docs, 0) + coalesce(classes.copies, 1) - 1 AS BIGINT) AS n_similar
+FROM d LEFT JOIN sets USING (r) LEFT JOIN classes USING (k) LEFT JOIN groups USING (k) LEFT JOIN counts USING (k)
+"""

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.bpe import op1_bpe
-from tessera.llm.contamination import op7_contamination
+from tessera.llm.contamination import OP7_SQL, op7_contamination
 from tessera.llm.exact import OP10_SQL, op10_exact
 from tessera.llm.html import op3_html
-from tessera.llm.jaccard import op2_jaccard
+from tessera.llm.jaccard import OP2_SQL, op2_jaccard
 from tessera.llm.langid import op8_langid
 from tessera.llm.lmscore import op4_lmscore
 from tessera.llm.pii import op6_pii
@@ -31,5 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard": OP2_SQL,
+    "op7_contamination": OP7_SQL,
     "op10_exact": OP10_SQL,
 }

@@ -217,5 +217,6 @@ def predict(docs: DataFrame, chain: Chain, categories=CATEGORIES) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain's verdict on toxicity; the earlier category as a probability."""
     docs = table(spark, sf_dir, "documents")
-    return predict(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return predict(docs, fit(docs, table(spark, sf_dir, "labels"))).select("doc_id", "toxic", "p_toxic", "p_low_quality")
