@@ -21,6 +21,7 @@ from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS, PR
 from tessera.session import scratch_path
 from tessera.sinks import files as file_sinks
 from tessera.sources.files import json_rejects, list_data_files, load_exports, read_json_dir, read_parquet_dir
+from tessera.sources.jdbc import read_table as read_loaded_table
 from tessera.sources.kafka import read_message_log, read_message_text_log
 from tessera.streaming.export import run_export
 from tessera.streaming.publish import publish_tickets
@@ -403,7 +404,7 @@ def _dashboard(name):
         root = scratch_path(spark, f"dashboard_{name}")
         file_sinks.write_parquet(fx.routed_tickets(spark, sf), f"{root}/export")
         load_relational(spark, f"{root}/export", path=f"{root}/table")
-        return dashboard_over_table(spark, spark.read.parquet(f"{root}/table"), name)
+        return dashboard_over_table(spark, read_loaded_table(spark, path=f"{root}/table"), name)  # S8
 
     run.__name__, run.__doc__ = f"q_dashboard_{name}", f"J7: the {name} statement over the table that J3 loaded."
     return run

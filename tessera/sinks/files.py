@@ -46,9 +46,11 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: CSV with a header and no index column; a folder of part files."""
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int = 2_000_000) -> None:
+    """K4: CSV with a header and no index column; a folder of part files. Line
+    breaks inside quotes make a file unsplittable on reading, so a task starts
+    a new file every ``max_records_per_file`` rows."""
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).option("maxRecordsPerFile", str(max_records_per_file)).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
