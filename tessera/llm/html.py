@@ -55,7 +55,7 @@ ROOT = "page"
 BROADCAST_BYTES = 32 << 20
 
 #: Elements whose content is no article text (fixed list).
-SKIP = frozenset("head nav header footer aside form dialog menu button select textarea label noscript template iframe object svg math canvas audio video".split())
+SKIP = frozenset("head title nav header footer aside form dialog menu button select textarea label noscript template iframe object svg math canvas audio video".split())
 #: Elements that do not break a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
