@@ -25,6 +25,7 @@ from __future__ import annotations
 import functools
 import sys
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,15 +149,30 @@ def _sample_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(sets, pa.binary())], ["doc_id", "lang", "grams"])
 
 
+def _low_ranks(rows: DataFrame, counts: dict[str, int], expected: int) -> DataFrame:
+    """The rows of each language with the lowest ranks, about ``expected`` of
+    them: what comes first in rank order lies in it, and no language's rows
+    meet in one task, however many there are."""
+    least, every = -(1 << 63), (1 << 64) - 1
+    bounds = [F.lit(x) for lang, n in counts.items() for x in (lang, least + min(every, every * expected // n))]
+    return rows.where(F.col("rank") <= F.element_at(F.create_map(*bounds), F.col("lang"))) if bounds else rows
+
+
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out."""
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~_held_out())
-    langs = max(1, labelled.agg(F.count_distinct("lang")).first()[0])
-    each = max(4, train_rows // langs)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("doc_id").distinct()
-    ids = [r[0] for r in chosen.collect()]  # at most train_rows (or 4 for each language)
-    sample = labelled.where(F.col("doc_id").isin(ids)).mapInArrow(_sample_task, "doc_id long, lang string, grams binary").collect() if ids else []
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    each = max(4, train_rows // max(1, len(counts)))
+    rows = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("rank"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "doc_id")) <= each
+    chosen = _low_ranks(rows, counts, 4 * each).withColumn("first", first).where("first").select("doc_id", "lang").distinct()
+    found = chosen.collect()  # at most train_rows (or 4 for each language)
+    taken = Counter(r["lang"] for r in found)
+    if any(taken[lang] < min(n, each) for lang, n in counts.items()):  # repeated rows, or a thin slice of the hashes
+        found = rows.withColumn("first", first).where("first").select("doc_id", "lang").distinct().collect()
+    ids = sorted({r["doc_id"] for r in found})
+    texts = labelled.where(F.col("doc_id").isin(ids)).groupBy("doc_id", "lang").agg(F.max("text").alias("text"))  # one of repeated rows
+    sample = texts.mapInArrow(_sample_task, "doc_id long, lang string, grams binary").collect() if ids else []
     rank = lambda r: (zlib.crc32(b"%d" % r["doc_id"]), r["doc_id"], r["lang"], r["grams"])
     return Model([(r["lang"], np.frombuffer(r["grams"], "<u8")) for r in sorted(sample, key=rank) if r["grams"]], landmarks, ridge)
 

@@ -179,7 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, train_rows: i
     positive = whole.where(F.col(last) == 1).orderBy(first).limit(train_rows // 2)
     sample = positive.unionByName(whole.where(F.col(last) == 0).orderBy(first).limit(train_rows - train_rows // 2))
     both = F.array(*[F.col(f"__c{i}") for i in range(len(categories))]).alias("labels")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "text", both)  # at most train_rows rows
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "text", both)
+    rows = rows.groupBy("doc_id", "labels").agg(F.max("text").alias("text")).select("doc_id", "text", "labels")  # one of repeated rows: at most train_rows
     found = rows.mapInArrow(_feature_task, "doc_id bigint, labels array<int>, features binary").collect()
     found.sort(key=lambda r: (int(mix(np.array([r["doc_id"] % (1 << 64)], np.uint64))[0]), r["features"]))
     return Chain([np.frombuffer(r["features"], "<i4") for r in found], np.array([r["labels"] for r in found]).reshape(len(found), len(categories)))
