@@ -241,6 +241,20 @@ def encode_documents(docs: DataFrame, tokenizer_path: str | None = None) -> Data
     return _run(docs, tokenizer_path, FULL_SCHEMA, make)
 
 
+def decode_documents(encoded: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """doc_id and the decoded text of every row of (doc_id, ids); null ids
+    count as none. An id outside the vocabulary fails the job."""
+    path = tokenizer_path or default_tokenizer_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = (_ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))).token
+        for batch in batches:
+            texts = [b"".join([token[i] for i in ids or ()])[:-1].decode() for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "decoded"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded string")
+
+
 def encoding_digests(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; ids and
     decoded texts are hashed where they are made and never leave the task."""

@@ -47,6 +47,13 @@ def test_full_output_round_trip(spark, make_docs, tokenizer):
         assert r["ids"] == ids and r["decoded"] == (tokenizer.decode(ids, skip_special_tokens=False) if ids else "")
 
 
+def test_decoding_ids(spark, make_docs):
+    encoded = bpe.encode_documents(make_docs(list(enumerate(ODD))))
+    want = {r["doc_id"]: r["decoded"] for r in encoded.collect()}
+    assert {r["doc_id"]: r["decoded"] for r in bpe.decode_documents(encoded.selectExpr("*", "'x' AS text")).collect()} == want
+    assert bpe.decode_documents(spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")).where("decoded <> ''").count() == 0
+
+
 def test_empty_table(spark, make_docs):
     assert bpe.encoding_digests(make_docs([])).collect() == []
 
