@@ -249,7 +249,10 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str | None = None) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = (_ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))).token
         for batch in batches:
-            texts = [b"".join([token[i] for i in ids or ()])[:-1].decode() for ids in batch.column(1).to_pylist()]
+            lists = [ids or [] for ids in batch.column(1).to_pylist()]
+            if any(min(ids) < 0 for ids in lists if ids):
+                raise IndexError("negative token id")
+            texts = [b"".join([token[i] for i in ids])[:-1].decode() for ids in lists]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded string")
