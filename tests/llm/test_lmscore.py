@@ -68,3 +68,41 @@ def test_prefers_target_like_texts(spark, make_docs):
 def test_empty(spark, make_docs):
     docs = make_docs([])
     assert lm.score(docs, lm.fit(docs, spark.range(3).withColumnRenamed("id", "doc_id"))).collect() == []
+
+
+def test_no_words_or_pairs_share_counts(spark, make_docs):
+    """Un-hashed counts, over words and pairs of which many fell in one class of 2**18 and 2**20."""
+    rows = [(d, " ".join(f"w{(d * 37 + j * j + j % 7 * d) % 4000}" for j in range(300))) for d in range(60)] + [(60, None)]
+    target = set(range(0, 60, 3))
+    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for i, t in rows:
+        w = (t or "").split()
+        for a, b in zip([None, *w], w):
+            for k in (0, 1) if i in target else (1,):
+                for kept, key in zip(counts[k], (b, a, (a, b))):
+                    kept[key] += 1
+    hashed = {w: int(word_hashes(w)[0]) >> 46 for w in counts[1][0]}
+    assert len(set(hashed.values())) < len(hashed) and len(counts[1][2]) > 10_000
+    total = [sum(c[0].values()) for c in counts]
+    scale = [1, total[0] / total[1]]
+    docs = make_docs(rows)
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    got = {r["doc_id"]: r for r in lm.score(docs, lm.fit(docs, ids, part_bytes=4096), run_bytes=5000).collect()}
+    assert got == {r["doc_id"]: r for r in lm.score_corpus(docs, ids, part_bytes=4096, run_bytes=5000).collect()}
+    assert len(got) == len(rows) and got[60]["n_tokens"] == 0 and got[60]["score"] is None
+    for i, t in rows[:-1]:
+        w = t.split()
+        ce = [0.0, 0.0]
+        for a, b in zip([None, *w], w):
+            for k in (0, 1):
+                p = (counts[k][0][b] * scale[k] + lm.UNIFORM) / (total[0] + lm.UNIFORM * 2**18)
+                ce[k] -= math.log((counts[k][2][a, b] * scale[k] + lm.BACKOFF * p) / (counts[k][1][a] * scale[k] + lm.BACKOFF))
+        assert tuple(got[i])[1:4] == pytest.approx((len(w), ce[0] / len(w), ce[1] / len(w)), abs=2e-6)
+
+
+def test_texts_that_were_not_counted(spark, make_docs):
+    docs = make_docs([(1, "alpha beta gamma"), (2, "red green")])
+    model = lm.fit(docs, spark.range(1, 2).withColumnRenamed("id", "doc_id"), part_bytes=8)
+    got = {r["doc_id"]: r["score"] for r in lm.score(make_docs([(3, "unseen words only"), (4, "alpha beta")]), model).collect()}
+    # Only that a text begins is known here: once in the target, twice (scaled by 3 of 5 words) in the background.
+    assert got[3] == pytest.approx(math.log(21 / (2 * 3 / 5 + 20)) / 3, abs=2e-6) and got[4] < got[3]
