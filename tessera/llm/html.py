@@ -17,7 +17,9 @@
    (``article`` or ``main``, or their roles). A page without one takes the
    block path that has the most slot text outside links on its host.
    Inside a marked main element a text block counts as boilerplate only if it
-   belongs to the root class of a host of ``SURE_PAGES`` distinct pages.
+   belongs to the root class of a host of ``SURE_PAGES`` distinct pages and
+   the article otherwise differs from the host's others (``_differs``): the
+   pages of a host may all be versions of one article.
 4. What HTML itself marks as no article goes in any case: menus, headers,
    footers, sidebars, forms, scripts, styles, and elements whose class, id or
    role names a notice, an advert, reader comments and the like.
@@ -266,12 +268,23 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     return slots.join(template, "host", "left")
 
 
+def _differs(own: list[Block], shared: list[Block]) -> bool:
+    """Whether an article is one of its own beside what all pages of its host
+    show in it: at least as many blocks and half as much text, and a title that
+    not all have. Versions of one article share their title and most of it."""
+    titled = any(re.match(r"h1(\.|$)", b.path.rpartition("/")[2]) for b in shared)
+    return not titled and len(own) >= len(shared) and 2 * sum(len(b.text) for b in own) >= sum(len(b.text) for b in shared)
+
+
 def main_text(html: str | None, boilerplate: frozenset = frozenset(), sure: frozenset = frozenset(), slot: int | None = None) -> str:
     """The main text of one page, given its host's template."""
     found, _ = blocks(html or "")
     marked = [b for b in found if b.main]
     if marked:
-        return "\n\n".join(b.text for b in marked if not b.skipped and not (sure and _hash("text", b.path, b.text) in sure))
+        marked = [b for b in marked if not b.skipped]
+        shared = [b for b in marked if sure and _hash("text", b.path, b.text) in sure]
+        own = [b for b in marked if b not in shared]
+        return "\n\n".join(b.text for b in (own if _differs(own, shared) else marked))
     open_ = [b for b in found if not b.skipped and not (boilerplate and _hash("text", b.path, b.text) in boilerplate)]
     if slot is not None and any(_element(b.path) == slot for b in open_):
         # The slot's element and what stands beside it under the same parent.

@@ -62,6 +62,13 @@ def test_root_class_inside_the_article(make_pages):
     assert texts(h.extract(make_pages(few)))[1] == "Own text 1\n\nShown everywhere"
 
 
+@pytest.mark.parametrize("changed", ["<p>Seen on day {n}</p>", "</article><p>token {n}</p><article>", "<script>{n}</script>", "<p>Rewritten words of version {n}, longer than all the others</p>" * 4])
+def test_versions_of_one_article_keep_their_text(make_pages, changed):
+    page = "<body><article><h1>One title</h1><p>First paragraph</p>" + changed + "<p>Second paragraph</p></article></body>"
+    got = texts(h.extract(make_pages([(i, f"http://v.org/{i}", page.format(n=i)) for i in range(h.SURE_PAGES + 2)])))
+    assert got == {i: h.main_text(page.format(n=i)) for i in got} and "First paragraph" in got[3] and "Second paragraph" in got[3]
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
