@@ -11,7 +11,9 @@ by their log-count ratio between the classes, within each fold.
 The chain is fitted on a bounded sample: at most ``TRAIN_ROWS`` labelled texts,
 taken by the hash of doc_id, up to half of them positive in the last category.
 The decision threshold of a category is the one with the best F1 on the
-out-of-fold probabilities.
+out-of-fold probabilities. Losses, intercepts and F1 counts weigh the sampled
+texts back to the shares that the last category has among all labels, so that
+probabilities and thresholds mean the same however many labels there are.
 
 Defined results: a null or empty text has no features and gets the models'
 base probabilities, never a positive label; without labels all probabilities
@@ -86,7 +88,7 @@ def _association(hit: np.ndarray, other: np.ndarray, pos: int, neg: int) -> np.n
 class Linear:
     """Logistic regression over chosen binary features and dense extra ones."""
 
-    def __init__(self, codes: np.ndarray, rows: np.ndarray, n: int, extra: np.ndarray, y: np.ndarray, steps: int = 150):
+    def __init__(self, codes: np.ndarray, rows: np.ndarray, n: int, extra: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 150):
         pos, neg = max(1, int(y.sum())), max(1, int((1 - y).sum()))
         used, place = np.unique(codes, return_inverse=True)
         hit = np.bincount(place, weights=y[rows], minlength=len(used)) if len(used) else np.zeros(0)
@@ -98,14 +100,14 @@ class Linear:
         number = np.cumsum(keep) - 1
         mine = keep[place] if len(used) else np.zeros(0, bool)
         row, col = rows[mine], number[place[mine]]
-        self.w, self.v, self.b = np.zeros(len(self.codes)), np.zeros(extra.shape[1]), float(np.log(pos / neg))
+        self.w, self.v, self.b = np.zeros(len(self.codes)), np.zeros(extra.shape[1]), float(np.log(max(weight @ y, 1e-9) / max(weight @ (1 - y), 1e-9))) if 0 < y.sum() < n else float(np.log(pos / neg))
         value = scale[col] if len(scale) else np.zeros(0)
         theta, speed, square = np.zeros(len(self.w) + len(self.v) + 1), 0.0, 0.0
         theta[-1] = self.b
         k = len(self.w)
         for t in range(1, steps + 1):  # Adam on the whole sample
             z = np.bincount(row, weights=theta[col] * value, minlength=n) + extra @ theta[k:-1] + theta[-1]
-            d = _sigmoid(z) - y
+            d = (_sigmoid(z) - y) * weight
             grad = np.concatenate([np.bincount(col, weights=d[row] * value, minlength=k) + RIDGE * theta[:k], extra.T @ d + RIDGE * theta[k:-1], [d.sum()]]) / max(1, n)
             speed = 0.9 * speed + 0.1 * grad
             square = 0.99 * square + 0.01 * grad * grad
@@ -125,12 +127,13 @@ class Linear:
 class Chain:
     """Fitted models and thresholds, in the order of the categories."""
 
-    def __init__(self, sets: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS):
+    def __init__(self, sets: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS, weight: np.ndarray | None = None):
         self.models: list[Linear] = []
         self.thresholds: list[float] = []
         n = len(sets)
         if not n:
             return
+        weight = np.ones(n) if weight is None else weight / weight.mean()
         rows, codes = np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets).astype(np.int64)
         fold = np.arange(n) % folds
         earlier = np.zeros((n, 0))
@@ -143,12 +146,12 @@ class Chain:
                     continue
                 train, number = np.flatnonzero(~held), np.cumsum(~held) - 1
                 mine = ~held[rows]
-                model = Linear(codes[mine], number[rows[mine]], len(train), earlier[train], y[train])
+                model = Linear(codes[mine], number[rows[mine]], len(train), earlier[train], y[train], weight[train])
                 own = held[rows]
                 spot = np.cumsum(held) - 1
                 out[held] = model.predict(codes[own], spot[rows[own]], int(held.sum()), earlier[held])
-            self.models.append(Linear(codes, rows, n, earlier, y))
-            self.thresholds.append(_threshold(out, y))
+            self.models.append(Linear(codes, rows, n, earlier, y, weight))
+            self.thresholds.append(_threshold(out, y, weight))
             earlier = np.column_stack([earlier, out])  # later models learn from out-of-fold predictions
 
     def predict(self, codes: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -158,13 +161,14 @@ class Chain:
         return earlier
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
+def _threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> float:
     """The cut with the best F1; at least 0.5 where no text is positive."""
     if not y.any():
         return 0.5
+    weight = np.ones(len(y)) if weight is None else weight
     order = np.argsort(-p, kind="stable")
-    hit = np.cumsum(y[order])
-    f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
+    hit = np.cumsum((weight * y)[order])
+    f1 = 2 * hit / (np.cumsum(weight[order]) + weight @ y)
     best = int(f1.argmax())
     below = p[order[best + 1]] if best + 1 < len(y) else 0.0
     return float((p[order[best]] + below) / 2)
@@ -183,7 +187,12 @@ def fit(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, train_rows: i
     rows = rows.groupBy("doc_id", "labels").agg(F.max("text").alias("text")).select("doc_id", "text", "labels")  # one of repeated rows: at most train_rows
     found = rows.mapInArrow(_feature_task, "doc_id bigint, labels array<int>, features binary").collect()
     found.sort(key=lambda r: (int(mix(np.array([r["doc_id"] % (1 << 64)], np.uint64))[0]), r["features"]))
-    return Chain([np.frombuffer(r["features"], "<i4") for r in found], np.array([r["labels"] for r in found]).reshape(len(found), len(categories)))
+    known = np.array([r["labels"] for r in found]).reshape(len(found), len(categories))
+    # How many labelled texts each sampled one stands for.
+    every = {r[last]: r["count"] for r in whole.groupBy(last).count().collect()}
+    most = {0: train_rows - train_rows // 2, 1: train_rows // 2}
+    weight = np.array([max(1.0, every[y] / most[y]) for y in known[:, -1].tolist()])
+    return Chain([np.frombuffer(r["features"], "<i4") for r in found], known, weight=weight)
 
 
 def _predict_task(chain, names: list[str]):

@@ -59,3 +59,13 @@ def test_edge_cases(spark, make_docs):
     nothing = t.predict(docs, t.fit(docs, frame.limit(0))).collect()
     assert len(nothing) == len(rows) and not any(r["toxic"] or r["p_toxic"] for r in nothing)
     assert t.predict(make_docs([]), t.fit(make_docs([]), frame)).collect() == []
+
+
+def test_a_bounded_sample_judges_like_all_labels(spark, make_docs):
+    words = ["vile"] * 60 + ["odd"] * 40 + ["vile"] * 9 + ["odd"] * 270 + ["calm"] * 621
+    docs = make_docs([(i, f"{w} text") for i, w in enumerate(words)])
+    labels = spark.createDataFrame([(i, 1, int(i < 100)) for i in range(len(words))], "doc_id long, quality int, toxic int")
+    for bound in (t.TRAIN_ROWS, 160):  # all labels; as many positives as negatives
+        got = t.predict(docs, t.fit(docs, labels, train_rows=bound)).collect()
+        assert {(words[r["doc_id"]], r["toxic"]) for r in got} == {("vile", True), ("odd", False), ("calm", False)}
+        assert abs(np.mean([r["p_toxic"] for r in got]) - 0.1) < 0.04
