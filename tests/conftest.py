@@ -1,3 +1,5 @@
+import glob
+import json
 import os
 import sys
 import tempfile
@@ -43,20 +45,23 @@ def sf01():
     return SF01
 
 
-def event_log(spark) -> list[dict]:
-    """Events written so far by the test session's event log."""
-    import glob
-    import json
-
-    log_dir = spark.conf.get("spark.eventLog.dir").replace("file:", "")
-    found = glob.glob(f"{log_dir}/*{spark.sparkContext.applicationId}*")
-    files = [f for p in found for f in (sorted(glob.glob(f"{p}/events_*")) if os.path.isdir(p) else [p])]
-    events = []
-    for path in files:
-        with open(path, encoding="utf-8") as fh:
-            for line in fh:
-                try:
-                    events.append(json.loads(line))
-                except ValueError:  # a line still being written
-                    break
-    return events
+@pytest.fixture(scope="session")
+def event_log(spark):
+    """A function that returns the events written so far by the test
+    session's event log."""
+
+    def read() -> list[dict]:
+        log_dir = spark.conf.get("spark.eventLog.dir").replace("file:", "")
+        found = glob.glob(f"{log_dir}/*{spark.sparkContext.applicationId}*")
+        files = [f for p in found for f in (sorted(glob.glob(f"{p}/events_*")) if os.path.isdir(p) else [p])]
+        events = []
+        for path in files:
+            with open(path, encoding="utf-8") as fh:
+                for line in fh:
+                    try:
+                        events.append(json.loads(line))
+                    except ValueError:  # a line still being written
+                        break
+        return events
+
+    return read

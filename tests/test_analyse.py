@@ -4,7 +4,6 @@ import glob
 import json
 
 import pytest
-from conftest import event_log
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -124,13 +123,13 @@ def test_export_keeps_fraction_and_offset(spark):
     assert {r.key: r.created_at for r in df.collect()} == texts
 
 
-def test_no_sort_before_the_write_and_filter_above_the_observation(spark, scratch):
+def test_no_sort_before_the_write_and_filter_above_the_observation(spark, scratch, event_log):
     observed = row_copies(spark.createDataFrame([("a",)], "c string")).observe(Observation("x"), F.count(F.lit(1)).alias("n")).where("c IS NOT NULL").select("c")
     plan = observed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("CollectMetrics")
     path = f"{scratch}/clean"
     observed.write.parquet(path)
-    writes = [e for e in event_log(spark) if "sparkPlanInfo" in e and path in json.dumps(e.get("physicalPlanDescription", ""))]
+    writes = [e for e in event_log() if "sparkPlanInfo" in e and path in json.dumps(e.get("physicalPlanDescription", ""))]
     assert writes and not any('"nodeName": "Sort"' in json.dumps(e["sparkPlanInfo"]) for e in writes)
 
 

@@ -93,16 +93,14 @@ def test_no_python_in_plans(spark, name):
     assert os.path.exists("/root/testdata/sf0.001")
 
 
-def test_registered_queries_start_no_python(spark):
+def test_registered_queries_start_no_python(spark, event_log):
     """No stage of any registered query (run above) holds a Python RDD: the
     work stays on the JVM, including small frames built in the library."""
     import time
 
-    from conftest import event_log
-
     deadline = time.time() + 30
     while True:
-        events = event_log(spark)
+        events = event_log()
         groups, stages, ended = {}, {}, set()
         for e in events:
             if e.get("Event") == "SparkListenerJobStart":
