@@ -36,8 +36,12 @@ from tessera.llm.common import table, text_slices
 
 WINDOW = 16
 CHUNK_BITS = 9  # cuts lie 512 bytes apart on average
-CHUNK_CACHE_BYTES = 48 << 20
-WORD_CACHE_ENTRIES = 600_000
+#: Bytes of Python memory that a task's caches of chunks and of words may take.
+CHUNK_CACHE_BYTES = 40 << 20
+WORD_CACHE_BYTES = 40 << 20
+#: What an entry takes besides its contents; longer words and chunks are not kept.
+CHUNK_ENTRY_BYTES, WORD_ENTRY_BYTES = 450, 330
+LONGEST_CHUNK, LONGEST_WORD = 8192, 256
 
 DIGEST_SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 FULL_SCHEMA = "doc_id bigint, ids array<int>, decoded string"
@@ -69,17 +73,18 @@ _SPACE = re.compile(rb"[ \t-\r]")
 _NOT_AFTER_LETTER = re.compile(rb"(?<![A-Za-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,][ \n]")
 
 
-def split_words(chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
+def split_words(chunk: bytes, stops: bool = True) -> tuple[bytes, list[bytes], bytes] | None:
     """The open start of a chunk, the words of its body, and its open end;
-    None without white space. Where all final stops and commas of the body
-    follow letters (the tokenizer splits there), they are words of their own."""
+    None without white space. With ``stops`` (the tokenizer splits there),
+    where all final stops and commas of the body follow letters, they are
+    words of their own."""
     found = _SPACE.search(chunk)
     if not found:
         return None
     lo = found.start()
     hi = max(chunk.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
     body = chunk[lo : hi + 1]
-    if not _NOT_AFTER_LETTER.search(body):
+    if stops and not _NOT_AFTER_LETTER.search(body):
         body = body.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" . ").replace(b",\n", b" , ")
     return chunk[:lo], body.split(), chunk[hi + 1 :]
 
@@ -87,7 +92,7 @@ def split_words(chunk: bytes) -> tuple[bytes, list[bytes], bytes] | None:
 class Encoder:
     """Encodes batches of texts; ids and decoded text come as bytes."""
 
-    def __init__(self, path: str, chunk_bytes: int = CHUNK_CACHE_BYTES, words: int = WORD_CACHE_ENTRIES):
+    def __init__(self, path: str, chunk_bytes: int = CHUNK_CACHE_BYTES, word_bytes: int = WORD_CACHE_BYTES):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -96,13 +101,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        check_tokenizer(self.tokenizer)
+        self.lowers, self.splits_stops = check_tokenizer(self.tokenizer)
         top = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.token = [(self.tokenizer.id_to_token(i) or "").encode() + b" " for i in range(top)]
         self.ends = np.array([t.endswith(b"</w> ") for t in self.token])
+        self.chunk_limit, self.word_limit = chunk_bytes, word_bytes
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches (at the end of a task: a pooled worker serves
+        other operators' tasks next)."""
         self.words: dict[bytes, tuple[bytes, bytes]] = {}
         self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bytes] | None] = {}
-        self.chunk_size, self.chunk_limit, self.word_limit = 0, chunk_bytes, words
+        self.word_size = self.chunk_size = 0
 
     def _learn(self, new: set[bytes]) -> None:
         """Encode words that the cache lacks, each on its own."""
@@ -137,13 +148,10 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids as little-endian unsigned 32-bit integers, and
         the decoded text in UTF-8."""
-        if len(self.words) > self.word_limit:
-            self.words.clear()
-        if self.chunk_size > self.chunk_limit:
-            self.chunks.clear()
-            self.chunk_size = 0
+        if self.word_size > self.word_limit or self.chunk_size > self.chunk_limit:
+            self.forget()
         raw = data.tobytes()
-        if b"<|" not in raw:  # else a special token might appear by lowering
+        if self.lowers and b"<|" not in raw:  # else a special token might appear by lowering
             raw = raw.lower()  # ASCII letters, as the tokenizer does itself
         at = np.unique(np.concatenate([cuts(data), offsets]))
         # Rolling-hash windows that reach over a text's start are not content
@@ -156,7 +164,7 @@ class Encoder:
         split: dict[bytes, tuple[bytes, list[bytes], bytes] | None] = {}
         for p in set(pieces):
             if p not in self.chunks:
-                split[p] = split_words(p)
+                split[p] = split_words(p, self.splits_stops)
         # Lay the texts out as bodies and join words.
         first = np.searchsorted(at, offsets).tolist()
         plans: list[list] = []
@@ -185,23 +193,33 @@ class Encoder:
                 plan.append(carry)
                 new.add(carry)
             plans.append(plan)
-        self._learn({w for w in new if w not in known})
+        fresh = {w for w in new if w not in known}
+        self._learn(fresh)
         for p, body in bodies.items():
             if body is None:
                 chunks[p] = None
-                self.chunk_size += len(p) + 100
+                self.chunk_size += len(p) + CHUNK_ENTRY_BYTES
             else:
                 ids, decoded = self._encode_words(body[1])
                 chunks[p] = (body[0], ids, decoded, body[2])
-                self.chunk_size += len(p) + len(ids) + len(decoded) + 300
+                self.chunk_size += 2 * len(p) + len(ids) + len(decoded) + CHUNK_ENTRY_BYTES
         for plan in plans:
             got = [chunks[x[0]][1:3] if type(x) is tuple else known[x] for x in plan]
             yield b"".join([g[0] for g in got]), b"".join([g[1] for g in got])[:-1]
+        for w in fresh:
+            ids, decoded = known[w] if len(w) <= LONGEST_WORD else known.pop(w)
+            if len(w) <= LONGEST_WORD:
+                self.word_size += len(w) + len(ids) + len(decoded) + WORD_ENTRY_BYTES
+        for p in bodies:
+            if len(p) > LONGEST_CHUNK:
+                chunks.pop(p)
 
 
-def check_tokenizer(tokenizer) -> None:
+def check_tokenizer(tokenizer) -> tuple[bool, bool]:
     """Fail unless ids are independent on both sides of ASCII white space and
-    decoding joins token strings with one space."""
+    decoding joins token strings with one space. Says whether the tokenizer
+    lower-cases ASCII letters itself, and whether it splits a final stop or
+    comma off a letter; a tokenizer that doesn't is fed texts as they are."""
     enc = lambda s: tokenizer.encode(s, add_special_tokens=False).ids
     probes = ["Abc", "x-1", "café.", "'s", "42"]
     for a in probes:
@@ -212,9 +230,16 @@ def check_tokenizer(tokenizer) -> None:
     ids = enc("Abc café 42")
     if tokenizer.decode(ids, skip_special_tokens=False) != " ".join(tokenizer.id_to_token(i) for i in ids):
         raise ValueError("the tokenizer's decoder does more than join token strings")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    cased = [letters.upper(), *letters.upper(), *(f"{c.upper()}{d}" for c, d in zip(letters, letters[1:])), "Hello World", "McDONALD'S"]
+    lowers = all(enc(w) == enc(w.lower()) for w in cased)
+    stops = all(enc(f"{w}{stop}{gap}") == enc(f"{w} {stop}") for w in (*letters, *letters.upper(), "word", "café", "Ünß") for stop in ".," for gap in " \n")
+    return lowers, stops
 
 
-#: One encoder for a worker process, so that its caches serve its later tasks.
+#: Bytes of text that are encoded in one round (a longer text goes alone).
+ROUND_BYTES = 1 << 20
+#: One encoder for a worker process; its caches serve one task.
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -223,10 +248,13 @@ def _run(docs: DataFrame, path: str | None, schema: str, make) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, Encoder(path))
-        for batch in batches:
-            ids = batch.column(0)
-            for lo, hi, data, offsets in text_slices(batch.column(1)):
-                yield make(ids.slice(lo, hi - lo), list(encoder.encode(data, offsets)))
+        try:
+            for batch in batches:
+                ids = batch.column(0)
+                for lo, hi, data, offsets in text_slices(batch.column(1), ROUND_BYTES):
+                    yield make(ids.slice(lo, hi - lo), list(encoder.encode(data, offsets)))
+        finally:
+            encoder.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -67,17 +67,43 @@ LOWER = _lower_table()
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _VALUES[0] = 0  # a byte outside words
 _BASE = 0x5851F42D4C957F2D
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes that one round of hashing takes; its power tables are all that a worker keeps.
+HASH_BYTES = 1 << 17
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(size, base, np.uint64)
+        p[0] = 1
+        tables.append(np.multiply.accumulate(p))
+    return tables[0], tables[1]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+    if n > HASH_BYTES + 1:  # for a single word longer than a round
+        return _power_tables(n)
+    if not _POWERS:
+        _POWERS.append(_power_tables(HASH_BYTES + 1))
+    return _POWERS[0]
+
+
+def _hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word ``low[start:end]``, in rounds of some ``HASH_BYTES``."""
+    out = np.empty(len(start), np.uint64)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + HASH_BYTES, "right")))
+        base = start[a]
+        part = low[base : end[b - 1]]
+        power, inverse = _powers(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_VALUES[part] * power[: len(part)], out=total[1:])
+        lo = start[a:b] - base
+        out[a:b] = mix((total[end[a:b] - base] - total[lo]) * inverse[lo])
+        a = b
+    return out
 
 
 class Words:
@@ -96,10 +122,7 @@ class Words:
         joined = cut[(inside[cut] == 1) & (inside[cut + 1] == 1)]  # a word ends where its text ends
         first[joined] = last[joined] = True
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last)
-        power, inverse = _powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUES[low] * power[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
+        self.hash = _hashes(low, self.start, self.end)
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         self.per_doc = np.bincount(self.doc, minlength=docs)
 

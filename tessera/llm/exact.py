@@ -8,7 +8,7 @@ complete content:
 1. Each scan task keeps a bounded table of the texts it has met and sends on
    one *representative* per distinct text with the count and the best row of
    its copies, so a text that holds a third of all rows leaves a task once.
-   A task whose table is full sends further new texts on singly.
+   A task whose table is full sends each further new text on once a batch.
 2. The representatives are hash-partitioned by a shuffle (its files are the
    spill files). Each bucket fills a bounded table; a text that no longer fits
    overflows to a table in the shared folder, which is partitioned again with
@@ -45,7 +45,7 @@ ENTRY_BYTES = 300
 #: The characters that do not count, plain list.
 WHITE = " \t\n\x0b\x0c\r"
 
-_SCAN = "doc_id bigint, row bigint, rep bigint, sha string, text string, size bigint, n bigint, best_chars int, best_id bigint, best_row bigint"
+_SCAN = "doc_id bigint, row bigint, rep bigint, sha string, raw_sha string, text string, size bigint, n bigint, best_chars int, best_id bigint, best_row bigint"
 _GROUPS = "rep bigint, keep_id bigint, keep_row bigint, group_size bigint, text string, size bigint, n bigint, best_chars int, best_id bigint, best_row bigint"
 _LAST = (1 << 63) - 1
 
@@ -63,26 +63,27 @@ def _scan_task(table_bytes: int):
         groups: dict[str, list] = {}  # text -> [representative, copies, best]
         held = 0
         for batch in batches:
-            doc_id, row, text, chars, sha = (batch.column(i) for i in range(5))
+            doc_id, row, text, chars, sha, raw_sha = batch.columns
             ids, rows, counts = doc_id.to_pylist(), row.to_pylist(), chars.to_pylist()
             reps: list[int] = []
-            single: list[tuple] = []
+            beyond: dict[str, list] = {}  # what the full table lacks, collapsed within the batch
             for i, key in enumerate(text.to_pylist()):
                 mine = (counts[i], ids[i], rows[i])
-                group = groups.get(key)
+                group = groups.get(key) or beyond.get(key)
                 if group is not None:
                     group[1] += 1
                     group[2] = _better(group[2], mine)
-                elif held < table_bytes:
-                    group = groups[key] = [rows[i], 1, mine]
-                    held += len(key) + ENTRY_BYTES
                 else:
-                    single.append((rows[i], key, 1, mine))
-                reps.append(group[0] if group else rows[i])
+                    group = [rows[i], 1, mine]
+                    if held < table_bytes:
+                        groups[key] = group
+                        held += len(key) + ENTRY_BYTES
+                    else:
+                        beyond[key] = group
+                reps.append(group[0])
             nothing = [None] * len(reps)
-            yield _batch(_SCAN, [ids, rows, reps, sha.to_pylist(), *[nothing] * 6])
-            if single:
-                yield from _representatives(single)
+            yield _batch(_SCAN, [ids, rows, reps, sha.to_pylist(), raw_sha.to_pylist(), *[nothing] * 6])
+            yield from _representatives((g[0], key, g[1], g[2]) for key, g in beyond.items())
         yield from _representatives((g[0], key, g[1], g[2]) for key, g in groups.items())
 
     return run
@@ -92,7 +93,7 @@ def _representatives(found) -> Iterator[pa.RecordBatch]:
     part: list[tuple] = []
     size = 0
     for rep, text, n, best in found:
-        part.append((None, None, rep, None, text, len(text), n, *best))
+        part.append((None, None, rep, None, None, text, len(text), n, *best))
         size += len(text)
         if size > 8 << 20:
             yield _batch(_SCAN, list(zip(*part)))
@@ -146,14 +147,15 @@ def _bucket_task(table_bytes: int):
 
 
 def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """One row per input row: doc_id, row, keep_id, keep_row, group_size, text_sha256.
+    """One row per input row: doc_id, row, keep_id, keep_row, group_size,
+    text_sha256 (normalised), raw_sha256 (original text).
 
     ``row`` numbers the rows of this run; ``row = keep_row`` marks the rows that stay.
     """
     normal = F.translate(F.col("text"), WHITE, "")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ).select("doc_id", "row", normal.alias("text"), F.char_length("text").alias("chars"), F.sha2(normal, 256).alias("sha"))
+    ).select("doc_id", "row", normal.alias("text"), F.char_length("text").alias("chars"), F.sha2(normal, 256).alias("sha"), F.sha2("text", 256).alias("raw_sha"))
     # Written once: the row numbers and representatives below all come from
     # this table, whatever is lost or run again later.
     scanned = stored(rows.mapInArrow(_scan_task(table_bytes), _SCAN), "exact-scan")
@@ -170,24 +172,28 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
         groups = done if groups is None else groups.unionByName(done)
         records = found.where(F.col("text").isNotNull()).select("rep", "text", "size", "n", "best_chars", "best_id", "best_row")
         level += 1
-    every = scanned.where(F.col("row").isNotNull()).select("doc_id", "row", "rep", F.col("sha").alias("text_sha256"))
+    every = scanned.where(F.col("row").isNotNull()).select("doc_id", "row", "rep", F.col("sha").alias("text_sha256"), F.col("raw_sha").alias("raw_sha256"))
     if groups is None:
-        return every.select("doc_id", "row", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("group_size"), "text_sha256").limit(0)
-    return every.join(groups, "rep").select("doc_id", "row", "keep_id", "keep_row", "group_size", "text_sha256")
+        return every.select("doc_id", "row", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("group_size"), "text_sha256", "raw_sha256").limit(0)
+    return every.join(groups, "rep").select("doc_id", "row", "keep_id", "keep_row", "group_size", "text_sha256", "raw_sha256")
 
 
 def deduplicated(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are matched by doc_id and digest; of rows that agree in both, one stays."""
+    Rows are matched by doc_id and a digest of the original text; of rows that
+    agree in both, one stays."""
     groups = exact_groups(docs, table_bytes)
-    kept = groups.where(F.col("row") == F.col("keep_row")).select(F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha"))
-    own = F.sha2(F.translate(F.coalesce(F.col("text"), F.lit("")), WHITE, ""), 256)
-    chosen = docs.withColumn("__own_sha", own).join(kept, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__own_sha") == F.col("__keep_sha")), "left_semi")
-    repeated = groups.groupBy("doc_id", "text_sha256").count().where("count > 1")
+    longest = max(map(len, docs.columns))
+    own_id, own_raw = (x.ljust(longest + 1, "_") for x in ("id", "raw"))  # longer than any column's name
+    raw = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    kept = groups.where(F.col("row") == F.col("keep_row")).select(F.col("doc_id").alias(own_id), F.col("raw_sha256").alias("raw"))
+    marked = docs.withColumn(own_raw, raw)
+    chosen = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(own_raw) == kept["raw"]), "left_semi")
+    repeated = groups.groupBy("doc_id", "raw_sha256").count().where("count > 1")
     if not repeated.isEmpty():  # else no row has a copy with its own doc_id, and nothing is left to drop
-        chosen = chosen.dropDuplicates(["doc_id", "__own_sha"])
-    return chosen.drop("__own_sha")
+        chosen = chosen.dropDuplicates(["doc_id", own_raw])
+    return chosen.drop(own_raw)
 
 
 def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:

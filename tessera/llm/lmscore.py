@@ -39,10 +39,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import Words, mix, shuffle_partitions, stored, table, text_slices
 
-#: The uniform model is spread over so many words (as a power of 2), or over all distinct words if there are more.
-WORD_BITS = 18
-#: Bits of the hash that a pair is counted under.
-PAIR_BITS = 64
 RUN_BYTES = 8 << 20
 PART_BYTES = 32 << 20
 #: Weight of the word model in the pair model, and of the uniform model in the word model.
@@ -72,14 +68,16 @@ def keys(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before[1:] = words.hash[:-1]
     first = np.flatnonzero(words.per_doc)
     before[(np.cumsum(words.per_doc) - words.per_doc)[first]] = _START
-    return words.hash, before, mix(before * np.uint64(3) + words.hash) >> np.uint64(64 - PAIR_BITS)
+    return words.hash, before, mix(before * np.uint64(3) + words.hash)
 
 
-def _distinct(words: Words) -> list[tuple[np.ndarray, np.ndarray]]:
+def _distinct(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per kind: the distinct keys, ascending, and the place of each occurrence
     among them (words: first those of the words, then of the words before)."""
     now, before, pair = keys(words)
-    return [np.unique(x, return_inverse=True) for x in (np.concatenate([now, before]), pair)]
+    for x in (np.concatenate([now, before]), pair):
+        found, place = np.unique(x, return_inverse=True)
+        yield found, place.astype(np.int32)
 
 
 def _narrow(counts: np.ndarray) -> bytes:
@@ -179,7 +177,7 @@ class Model(NamedTuple):
         """Loss of every word under the target and the background model, given
         the counts of the distinct words and pairs, and their places."""
         scale = (1.0, self.n_target / self.n_background if self.n_background else 0.0)
-        spread = float(self.n_target) + UNIFORM * max(1 << WORD_BITS, self.n_words)
+        spread = float(self.n_target) + UNIFORM * max(1, self.n_words)  # all distinct words of the corpus
         for k in (0, 1):
             word = BACKOFF * (words[:, k] * scale[k] + UNIFORM) / spread
             yield np.log(words[:, 2 + k] * scale[k] + BACKOFF)[before] - np.log((pairs[:, k] * scale[k])[pair] + word[now])
@@ -228,8 +226,8 @@ def _run_task(run_bytes: int):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, hi, _, _ in text_slices(batch.column(1), run_bytes):
-                own = [batch.column(i).slice(lo, hi - lo).to_pylist() for i in range(3)]
-                yield _rows(_RUNS, [(number, *own)], [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_())])
+                own = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column(i).slice(lo, hi - lo)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *own], _names(_RUNS))
                 number += 1
 
     return run

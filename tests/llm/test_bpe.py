@@ -83,4 +83,32 @@ def test_chunks_are_shared_and_caches_bounded(sf001_texts):
     offsets = np.array([0, len(raw[0]), len(raw[0]) + len(raw[1])])
     list(encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets))
     assert len(encoder.chunks) <= len(bpe.cuts(np.frombuffer(raw[0], np.uint8))) + 5  # all but the first chunk are shared
-    assert [run([t], chunk_bytes=1000, words=10) for t in (long, long)] == [run([long])] * 2
+    assert [run([t], chunk_bytes=1000, word_bytes=1000) for t in (long, long)] == [run([long])] * 2
+
+
+def test_long_words_leave_no_memory(spark):
+    """A run without white space is one word, however long: it is encoded, not kept."""
+    encoder = bpe.Encoder(bpe.default_tokenizer_path())
+    raw = ("漢字仮名交じり文" * 40_000).encode()
+    (ids, _), = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
+    kept = sum(len(k) + len(v[0]) + len(v[1]) for k, v in encoder.words.items()) + sum(map(len, encoder.chunks))
+    assert kept < 3 * len(raw) and all(len(w) <= bpe.LONGEST_WORD for w in encoder.words)
+    encoder.forget()
+    assert not encoder.words and not encoder.chunks
+
+
+def test_cased_tokenizer_gets_texts_as_they_are(tmp_path):
+    """Without lower-casing and stop splitting in the tokenizer, the shortcuts are off."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocab = {w: i for i, w in enumerate(["a", "b,", ".", "Hello", "hello", "hello.", "[U]"])}
+    own = Tokenizer(models.WordLevel(vocab, unk_token="[U]"))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    own.save(path := str(tmp_path / "cased.json"))
+    encoder = bpe.Encoder(path)
+    assert (encoder.lowers, encoder.splits_stops) == (False, False)
+    text = "Hello hello. Hello a . b, Hello " * 200
+    raw = text.encode()
+    (ids, _), = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids

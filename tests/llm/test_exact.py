@@ -45,3 +45,24 @@ def test_deduplicated_keeps_columns(spark, make_docs):
 def test_empty(spark, make_docs):
     assert exact.exact_groups(make_docs([])).collect() == []
     assert exact.deduplicated(make_docs([])).collect() == []
+
+
+def test_ties_of_one_doc_id_are_decided_by_the_text(spark, make_docs):
+    rows = [(1, "a b"), (1, "a  b   "), (1, "ab"), (None, "c"), (None, " c "), (2, "d"), (2, "d")]
+    for shift in range(len(rows)):
+        docs = make_docs(rows[shift:] + rows[:shift], 2).selectExpr("*", "'mine' AS __own_sha", "'mine' AS __raw_9")
+        got = exact.deduplicated(docs)
+        assert got.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"], r["__own_sha"], r["__raw_9"]) for r in got.collect()), key=str) == [(1, "a  b   ", "mine", "mine"), (2, "d", "mine", "mine"), (None, " c ", "mine", "mine")]
+
+
+def test_a_hot_text_leaves_a_full_task_once_a_batch(spark):
+    """Also where it first comes when the task's table is full."""
+    run = exact._scan_task(table_bytes=3000)
+    import pyarrow as pa
+
+    texts = [f"text {i}" for i in range(50)] + ["hot"] * 5000
+    n = len(texts)
+    whole = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()), pa.array(texts), pa.array([len(t) for t in texts], pa.int32()), pa.array(texts), pa.array(texts)], ["doc_id", "row", "text", "chars", "sha", "raw_sha"])
+    found = [r for out in run(whole.slice(i, 500) for i in range(0, n, 500)) for r in out.to_pylist() if r["text"] == "hot"]
+    assert len(found) <= 11 and sum(r["n"] for r in found) == 5000 and min(r["best_row"] for r in found) == 50
