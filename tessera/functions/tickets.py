@@ -83,18 +83,19 @@ def timestamp_text(ts, separator: str = " ") -> Column:
     return F.concat(F.substring(text, 1, 10), F.lit(separator), F.substring(text, 12, 8))
 
 
-def export_time_text(text="created_at", mode: str = "lenient") -> Column:
+def export_time_text(text="created_at", mode: str = "lenient", ts: Column | None = None, zone: Column | None = None) -> Column:
     """A ticket time text as the CSV export writes it:
     ``yyyy-MM-dd HH:mm:ss``, then the fraction in six digits where there is
     one, then the zone offset where the text has one (``Z`` as ``+00:00``).
-    Null where the text does not parse (``lenient``)."""
+    Null where the text does not parse (``lenient``). ``ts`` and ``zone`` are
+    the time and the offset of a text that was read by a format of its own."""
     c = _col(text)
-    value = text_to_timestamp(c, mode).cast("string")
+    value = (text_to_timestamp(c, mode) if ts is None else ts).cast("string")
     fraction = F.substring(value, 20, 7)
-    offset = F.regexp_extract(c, r":\d{2}(?:\.\d+)?\s*([Zz]|[+-]\d{2}(?::?\d{2})?)\s*$", 1)
+    offset = F.regexp_extract(c, r":\d{2}(?:\.\d+)?\s*([Zz]|[+-]\d{2}(?::?\d{2})?)\s*$", 1) if zone is None else zone
     digits = F.rpad(F.regexp_replace(offset, r"[^0-9]", ""), 4, "0")
-    zone = F.when(offset == "", "").when(F.upper(offset) == "Z", "+00:00").otherwise(F.concat(F.substring(offset, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)))
-    return F.concat(F.substring(value, 1, 10), F.lit(" "), F.substring(value, 12, 8), F.when(fraction == "", "").otherwise(F.rpad(fraction, 7, "0")), zone)
+    shown = F.when(offset == "", "").when(F.upper(offset) == "Z", "+00:00").otherwise(F.concat(F.substring(offset, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2)))
+    return F.concat(F.substring(value, 1, 10), F.lit(" "), F.substring(value, 12, 8), F.when(fraction == "", "").otherwise(F.rpad(fraction, 7, "0")), shown)
 
 
 def time_shape(text="created_at") -> Column:

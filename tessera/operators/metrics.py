@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import calendar_day, text_to_timestamp, time_shape
+from tessera.functions.tickets import calendar_day, text_to_timestamp
+from tessera.functions.timeformat import format_of, one_series, ticket_time, unfit
 from tessera.schemas import SUMMARY_SECTIONS
 
 
@@ -131,16 +132,21 @@ def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "leni
 
     ``lenient``: text that does not parse is left out (count it with
     ``rejected_dates``). ``strict``: such text fails the job. ``skip``: as
-    the original analysis, any such text, or times in more than one format,
-    means no series at all (returns None) while the rest of the job carries
-    on. In ``skip`` mode the rejected rows are counted in the same
+    the original analysis, the first value's format (ISO or another, see
+    ``functions.timeformat``) holds for the column, and any text that doesn't
+    fit it means no series at all (returns None) while the rest of the job
+    carries on. In ``skip`` mode the rejected rows are counted in the same
     aggregation as the days (they form the null-day group), and that small
-    result is checkpointed, so the input is scanned once.
+    result is checkpointed, so the input is scanned once, after a look at its
+    first value. ``inferred``: by that format too, but only the texts that
+    don't fit are left out.
     """
+    fmt = format_of(df, mode, column)
+    ts = ticket_time(mode, fmt, column)
+    day = calendar_day(ts).alias("day")
     if mode == "skip":
-        day = calendar_day(text_to_timestamp(column, "lenient")).alias("day")
         counted = (
-            df.select(day, _bad_date(column).alias("bad"), time_shape(column).alias("shape"))
+            df.select(day, unfit(ts, mode, column).alias("bad"), one_series(mode, fmt, column).alias("shape"))
             .groupBy("day")
             .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.min("shape").alias("shape_lo"), F.max("shape").alias("shape_hi"))
             .checkpoint(eager=True)
@@ -148,14 +154,9 @@ def tickets_per_day(df: DataFrame, column: str = "created_at", mode: str = "leni
         if unreadable(counted):
             return None
         return counted.where(F.col("day").isNotNull()).select("day", "n").orderBy("day")
-    ts = text_to_timestamp(column, mode)
-    return (
-        df.select(calendar_day(ts).alias("day"))
-        .where(F.col("day").isNotNull())
-        .groupBy("day")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("day")
-    )
+    if mode not in ("lenient", "strict", "inferred"):
+        raise ValueError(f"unknown date mode {mode!r}")
+    return df.select(day).where(F.col("day").isNotNull()).groupBy("day").agg(F.count(F.lit(1)).alias("n")).orderBy("day")
 
 
 def row_count(df: DataFrame) -> int:
@@ -163,13 +164,14 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
-def row_and_file_counts(scan: DataFrame, files: DataFrame) -> DataFrame:
+def row_and_file_counts(counted: DataFrame, files: DataFrame) -> DataFrame:
     """A6 + A7: (n_rows, n_files) of a folder.
 
-    ``scan`` reads the folder, ``files`` lists its data files
+    ``counted`` has the folder's ``n_rows`` (``sources.files.footer_row_count``
+    takes them from the footers), ``files`` lists its data files
     (``sources.files.list_data_files``), so a part file without rows counts.
     """
-    return scan.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_files", F.lit(files.count()).cast("long"))
+    return counted.withColumn("n_files", F.lit(files.count()).cast("long"))
 
 
 def distribution_summary(df: DataFrame, dimensions=tuple(d for d, _ in SUMMARY_SECTIONS)) -> DataFrame:

@@ -26,7 +26,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.tickets import calendar_day, export_time_text, text_to_timestamp, time_shape
+from tessera.functions.tickets import calendar_day, export_time_text
+from tessera.functions.timeformat import TimeFormat, format_of, one_series, ticket_time, unfit, zone_text
 from tessera.operators.metrics import unreadable
 from tessera.operators.quality import COPIES, complete_row, require_columns, row_copies
 from tessera.sinks.files import write_chart_tables, write_csv, write_summary_text
@@ -43,39 +44,45 @@ class AnalysisResult:
     daily_skipped: bool = False
 
 
-def csv_ready(clean: DataFrame, date_mode: str, any_rejected: bool | None = None) -> DataFrame:
+def csv_ready(clean: DataFrame, date_mode: str, any_rejected: bool | None = None, fmt: TimeFormat | None = None) -> DataFrame:
     """Cleaned rows as exported: ``created_at`` rewritten as
     ``yyyy-MM-dd HH:mm:ss`` with its fraction and zone offset where it has
     them, when it parses. In ``skip`` mode with any text that does not parse,
     or more than one format, the original text is kept for every row
-    (``any_rejected``, when the caller already knows it, saves a pass)."""
-    if date_mode == "skip":
-        if any_rejected is None:
-            any_rejected = unreadable(report_counts(clean, date_mode))
-        if any_rejected:
-            return clean
-    formatted = export_time_text("created_at", "strict" if date_mode == "strict" else "lenient")
+    (``any_rejected`` and ``fmt``, when the caller already knows them, save a
+    pass)."""
+    if date_mode == "skip" and any_rejected is None:
+        fmt = format_of(clean, date_mode)
+        any_rejected = unreadable(report_counts(clean, date_mode, fmt))
+    elif date_mode == "inferred" and fmt is None:
+        fmt = format_of(clean, date_mode)
+    if date_mode == "skip" and any_rejected:
+        return clean
+    if fmt is not None:
+        formatted = export_time_text("created_at", ts=ticket_time(date_mode, fmt), zone=zone_text(fmt))
+    else:
+        formatted = export_time_text("created_at", "strict" if date_mode == "strict" else "lenient")
     return clean.withColumn("created_at", F.coalesce(formatted, F.col("created_at")))
 
 
 REPORT_COLUMNS = ("priority", "request_type", "assigned_team", "day")
 
 
-def report_counts(clean: DataFrame, date_mode: str) -> DataFrame:
+def report_counts(clean: DataFrame, date_mode: str, fmt: TimeFormat | None = None) -> DataFrame:
     """Every count the reports need, in one pass over the cleaned rows:
     (priority, request_type, assigned_team, day, n, bad, shape_lo, shape_hi),
     one row per combination present, a small table. ``bad`` counts time texts
     that do not parse (they fall in the null-day groups); the shapes tell
     whether the texts have one format.
     """
-    ts = text_to_timestamp("created_at", "strict" if date_mode == "strict" else "lenient")
+    ts = ticket_time(date_mode, fmt)
     source = clean.select(
         "priority",
         "request_type",
         "assigned_team",
         calendar_day(ts).alias("day"),
-        (F.col("created_at").isNotNull() & ts.isNull()).alias("bad"),
-        time_shape("created_at").alias("shape"),
+        unfit(ts, date_mode).alias("bad"),
+        one_series(date_mode, fmt).alias("shape"),
     )
     return source.groupBy(*REPORT_COLUMNS).agg(
         F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.min("shape").alias("shape_lo"), F.max("shape").alias("shape_hi")
@@ -123,7 +130,8 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
     result = AnalysisResult(audit=audit, null_report=report, columns=list(columns))
 
     # One pass for every report count (A1-A5, A8), kept as a small checkpoint.
-    counts = report_counts(clean, date_mode).checkpoint(eager=True)
+    fmt = format_of(clean, date_mode)  # a look at the first time text, in the modes that read by format
+    counts = report_counts(clean, date_mode, fmt).checkpoint(eager=True)
     any_rejected = unreadable(counts) if date_mode == "skip" else None
     daily = None if any_rejected else rolled_up(counts, "day").orderBy("day")
     result.daily_skipped = daily is None
@@ -137,7 +145,7 @@ def analyse(spark: SparkSession, parquet_dir: str, json_dir: str, out_dir: str,
         tables["team_priority"] = pivoted.na.fill(0, subset=list(priorities))
     charts = f"{out}/charts"
     writes = {name: (lambda df=df, name=name: write_chart_tables({name: df}, charts)) for name, df in tables.items() if df is not None}
-    writes["csv"] = lambda: write_csv(csv_ready(clean, date_mode, any_rejected), f"{out}/tickets_csv")  # K4
+    writes["csv"] = lambda: write_csv(csv_ready(clean, date_mode, any_rejected, fmt), f"{out}/tickets_csv")  # K4
     writes["summary_txt"] = lambda: write_summary_text(summary, f"{out}/summary_txt")  # K5
     run_concurrently(spark, writes)
     result.paths = {name: f"{charts}/{name}" for name, df in tables.items() if df is not None}

@@ -1,15 +1,12 @@
 """Dashboard queries over the loaded table.
 
-Plain SQL over a registered view, the way a BI tool queries the table. Each
-statement is a grouped count with a map-side partial aggregate.
+Plain SQL over the table, the way a BI tool queries it. Each statement is a grouped count with a map-side partial aggregate.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.schemas import DEFAULT_TABLE
-
 DASHBOARD_SQL = {
     "tickets_by_priority": """
         SELECT priority, count(*) AS n
@@ -41,6 +38,6 @@ def dashboard_over_table(spark: SparkSession, table: DataFrame, name: str) -> Da
     return spark.sql(DASHBOARD_SQL[name].format(table="{loaded}"), loaded=table)
 
 
-def dashboard_query(spark: SparkSession, tickets: DataFrame, name: str, table: str = DEFAULT_TABLE) -> DataFrame:
-    tickets.createOrReplaceTempView(table)
-    return spark.sql(DASHBOARD_SQL[name].format(table=table))
+def dashboard_query(spark: SparkSession, tickets: DataFrame, name: str) -> DataFrame:
+    """One dashboard statement over any table of tickets."""
+    return dashboard_over_table(spark, tickets, name)

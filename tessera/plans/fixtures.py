@@ -134,6 +134,34 @@ def subsecond_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_team(base.withColumn("created_at", text)).select(*ENRICHED_FIELDS)
 
 
+# Other written forms of the creation time, by name: what each is built from
+# (slices of the ISO text, the month's name, the hour of twelve).
+MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+TIME_FORMS = ("slashes", "compact", "month name", "day and month name", "twelve hours", "year first", "zone")
+
+
+def time_in_form(iso: F.Column, form: str) -> F.Column:
+    """An ISO time text (``yyyy-MM-ddTHH:mm:ss``) written in another form."""
+    y, m, d, h, mi, sec = (F.substring(iso, at, n) for at, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2)))
+    name = F.element_at(F.array(*[F.lit(x) for x in MONTH_NAMES]), m.cast("int"))
+    of_twelve = F.lpad(F.when(h.cast("int") % 12 == 0, 12).otherwise(h.cast("int") % 12).cast("string"), 2, "0")
+    pieces = {
+        "slashes": [m, "/", d, "/", y, " ", h, ":", mi],
+        "compact": [y, m, d, " ", h, ":", mi, ":", sec],
+        "month name": [name, " ", d, " ", y, " ", h, ":", mi, ":", sec],
+        "day and month name": [d, "-", name, "-", y],
+        "twelve hours": [m, "/", d, "/", y, " ", of_twelve, ":", mi, " ", F.when(h.cast("int") < 12, "AM").otherwise("PM")],
+        "year first": [y, "/", m, "/", d, " ", h, ":", mi, ":", sec, ".5"],
+        "zone": [iso, "+02:00"],
+    }[form]
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in pieces])
+
+
+def tickets_in_form(spark: SparkSession, sf_dir: str, form: str) -> DataFrame:
+    """Routed tickets whose creation text has another written form throughout."""
+    return routed_tickets(spark, sf_dir).withColumn("created_at", time_in_form(F.col("created_at"), form))
+
+
 def tickets_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tickets_with_bad_dates_from_events(read_table(spark, sf_dir, "events"))
 
@@ -148,6 +176,8 @@ __all__ = [
     "messages",
     "read_table",
     "routed_tickets",
+    "tickets_in_form",
+    "time_in_form",
     "subsecond_tickets",
     "tickets",
     "tickets_from_events",

@@ -100,7 +100,26 @@ _DASHBOARD = {
     "team_day": f"SELECT assigned_team, {_DAY} AS day, count(*) AS n FROM routed WHERE assigned_team IS NOT NULL AND {_DAY} IS NOT NULL GROUP BY 1, 2",
 }
 
+_FORMS = ("slashes", "compact", "month name", "day and month name", "twelve hours", "year first", "zone")
+
 ORACLE_SQL = {
+    "tickets_by_day_formats": _with(
+        _TICKETS, f"SELECT f.form, {_DAY} AS day, count(*) AS n FROM routed, (VALUES {', '.join(f'({f!r})' for f in _FORMS)}) f(form) WHERE {_DAY} IS NOT NULL GROUP BY 1, 2"
+    ),
+    "union_mixed_types": _with(
+        _TICKETS,
+        """SELECT * FROM routed
+UNION ALL SELECT ticket_id, CAST(CAST(client_id[2:] AS BIGINT) AS VARCHAR), replace(created_at, 'T', ' '), request, request_type, priority, assigned_team FROM routed
+UNION ALL SELECT ticket_id, CAST(CAST(client_id[2:] AS BIGINT) AS VARCHAR), NULL, request, request_type, priority, assigned_team FROM routed""",
+    ),
+    "stream_from_now": _with(_TICKETS, "SELECT 'parquet' AS format, * FROM routed UNION ALL SELECT 'json' AS format, * FROM routed"),
+    "stream_progress": "SELECT f.format, count(*) AS input_rows, false AS failed FROM events, (VALUES ('parquet'), ('json')) f(format) GROUP BY 1",
+    "relational_replace_failed": _with(_DIRTY, "SELECT dirty.*, t.target FROM dirty, (VALUES ('folder'), ('catalog')) t(target)"),
+    "columnar_catalog_append": _with(_DIRTY, "SELECT clean.*, l.load_id FROM clean, (VALUES ('monday'), ('tuesday')) l(load_id)"),
+    "columnar_rerun": _with(_DIRTY, "SELECT * FROM clean UNION ALL SELECT * FROM clean"),
+    "distinct_incremental": _with(_DIRTY + f",\nrouted AS (SELECT {_MSG}, {_TEAM} AS assigned_team FROM t0)", f"SELECT {_ALL} FROM dirty UNION SELECT {_ALL} FROM routed"),
+    "dashboard_incremental": _with(_TICKETS, f"SELECT assigned_team, {_DAY} AS day, 3 * count(*) AS n FROM routed WHERE assigned_team IS NOT NULL AND {_DAY} IS NOT NULL GROUP BY 1, 2"),
+    "analyse_columns": f"SELECT unnest(range(7))::INTEGER AS position, unnest({_ALL.split(', ')!r}) AS column_name",
     "csv_subsecond": _with(_T0, _SUBSECOND),
     "rejected_json_lines": "SELECT count(*) AS lines, count(*) FILTER (WHERE event_id % 41 = 0) AS rejected FROM events",
     "fanout_new_checkpoint": _with(
@@ -175,7 +194,7 @@ SELECT 'request_type', request_type, count(*) FROM routed WHERE request_type IS
 UNION ALL
 SELECT 'assigned_team', assigned_team, count(*) FROM routed WHERE assigned_team IS NOT NULL GROUP BY assigned_team""",
     ),
-    "row_and_file_counts": "SELECT count(*) AS n_rows, count(DISTINCT coalesce(event_type, '')) + 1 AS n_files FROM events",
+    "row_and_file_counts": "SELECT count(*) AS n_rows, CAST(17 AS BIGINT) AS n_files FROM events",
     "preview_first": _with(_TICKETS, "SELECT * FROM routed ORDER BY ticket_id LIMIT 5"),
     "distinct_rows": _with(_DIRTY, "SELECT * FROM distinct_dirty"),
     "null_profile": _with(_DIRTY, _null_rows("distinct_dirty")),

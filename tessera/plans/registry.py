@@ -12,18 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import layout, metrics, quality
+from tessera.operators.incremental import DistinctStore
 from tessera.operators.transform import enrich_messages, parse_messages
 from tessera.plans import fixtures as fx
 from tessera.plans.analyse import analyse, csv_ready
+from tessera.plans.cube import dashboard_from_cube, update_cube
 from tessera.plans.dashboard import DASHBOARD_SQL, dashboard_over_table, dashboard_query
 from tessera.plans.loads import load_columnar, load_relational
 from tessera.schemas import ENRICHED_FIELDS, ENRICHED_SCHEMA, MESSAGE_FIELDS, PRIORITIES
 from tessera.session import scratch_path
 from tessera.sinks import files as file_sinks
-from tessera.sources.files import json_rejects, list_data_files, load_exports, read_json_dir, read_parquet_dir
+from tessera.sinks.tables import append_columnar, replace_table
+from tessera.sources.files import footer_row_count, json_rejects, list_data_files, load_exports, read_json_dir, read_parquet_dir
 from tessera.sources.jdbc import read_table as read_loaded_table
 from tessera.sources.kafka import read_message_log, read_message_text_log
-from tessera.streaming.export import run_export
+from tessera.streaming.control import stop_all
+from tessera.streaming.export import enriched_stream, run_export, start_export
+from tessera.streaming.progress import read_progress, recorded_progress, rows_by_query
 from tessera.streaming.publish import publish_tickets
 from tessera.streaming.replay import run_replay
 
@@ -74,6 +79,13 @@ def q_tickets_by_day_skip(spark, sf):
     return metrics.tickets_per_day(fx.routed_tickets(spark, sf), mode="skip")
 
 
+def q_tickets_by_day_formats(spark, sf):
+    """P9, A5 as the original converts: the series of tables that write the
+    time in one other form each, read by the form of their first value."""
+    days = [metrics.tickets_per_day(fx.tickets_in_form(spark, sf, form), mode="skip").select(F.lit(form).alias("form"), "day", "n") for form in fx.TIME_FORMS]
+    return layout.union_by_name(days)
+
+
 def q_tickets_by_day_bad_dates(spark, sf):
     """A5, lenient: unparseable time text is left out of the series."""
     return metrics.tickets_per_day(fx.tickets_with_bad_dates(spark, sf), mode="lenient")
@@ -93,15 +105,17 @@ def q_distribution_summary(spark, sf):
     return metrics.distribution_summary(fx.routed_tickets(spark, sf))
 
 
+COUNTED_FILES = 16
+
+
 def q_row_and_file_counts(spark, sf):
-    """A6 + A7 over a folder with one file per event type and one without rows."""
+    """A6 + A7 over a folder of 16 files (by hash of the id) and one without
+    rows; the rows are counted from the files' footers."""
     path = scratch_path(spark, "row_and_file_counts")
     events = fx.read_table(spark, sf, "events")
-    kinds = [r[0] for r in events.select("event_type").distinct().collect()]  # a handful
-    for kind in kinds:
-        events.where(F.col("event_type").eqNullSafe(F.lit(kind))).coalesce(1).write.mode("append").parquet(path)
+    events.repartition(COUNTED_FILES, "event_id").write.parquet(path)
     events.where("false").coalesce(1).write.mode("append").parquet(path)
-    return metrics.row_and_file_counts(read_parquet_dir(spark, path), list_data_files(spark, path, "*.parquet"))
+    return metrics.row_and_file_counts(footer_row_count(spark, path, events.schema), list_data_files(spark, path, "*.parquet"))
 
 
 def q_preview_first(spark, sf):
@@ -150,6 +164,18 @@ def q_union_part_files(spark, sf):
     return layout.union_by_name([routed, raw])
 
 
+def q_union_mixed_types(spark, sf):
+    """One export folder in which the client is text in some files and
+    a number in others, and the creation time text, a time or not there."""
+    path = scratch_path(spark, "union_mixed_types")
+    routed = fx.routed_tickets(spark, sf)
+    number = F.substring("client_id", 2, 20)
+    file_sinks.write_parquet(routed, f"{path}/text")
+    file_sinks.write_parquet(routed.withColumn("client_id", number.cast("bigint")).withColumn("created_at", F.col("created_at").cast("timestamp_ntz")), f"{path}/typed")
+    file_sinks.write_parquet(routed.withColumn("client_id", number.cast("int")).drop("created_at"), f"{path}/narrow")
+    return read_parquet_dir(spark, path).select(*ENRICHED_FIELDS)
+
+
 def q_parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet_roundtrip")
     file_sinks.write_parquet(fx.routed_tickets(spark, sf), path)
@@ -244,6 +270,37 @@ def q_stream_restart(spark, sf):
     return read_parquet_dir(spark, f"{root}/parquet").select(*ENRICHED_FIELDS)
 
 
+def q_stream_from_now(spark, sf):
+    """What is on the log at the first start stays unread, what comes later
+    is exported by the restart, in both formats."""
+    root = scratch_path(spark, "stream_from_now")
+    log = _published_log(spark, sf, root)
+    args = (f"{root}/parquet", f"{root}/json", f"{root}/ckpt")
+    run_export(read_message_log(spark, log), *args, mode="dual", available_now=True, starting="latest")
+    publish_tickets(fx.tickets(spark, sf), log_path=log)
+    run_export(read_message_log(spark, log), *args, mode="dual", available_now=True, starting="latest")
+    parquet = read_parquet_dir(spark, f"{root}/parquet").select(F.lit("parquet").alias("format"), *ENRICHED_FIELDS)
+    return parquet.unionByName(read_json_dir(spark, f"{root}/json").select(F.lit("json").alias("format"), *ENRICHED_FIELDS))
+
+
+def q_stream_progress(spark, sf):
+    """A long-running export (processing-time trigger) and the input
+    rows that its progress table has for each of its two queries."""
+    root = scratch_path(spark, "stream_progress")
+    log = _published_log(spark, sf, root)
+    with recorded_progress(spark, f"{root}/progress") as progress:
+        enriched = enriched_stream(read_message_log(spark, log))
+        queries = start_export(enriched, f"{root}/parquet", f"{root}/json", f"{root}/ckpt", trigger="1 second", name=f"progress_{root[-12:]}")
+        progress.watch(queries)
+        try:
+            for query in queries:
+                query.processAllAvailable()
+        finally:
+            stop_all(queries)
+    by_query = rows_by_query(read_progress(spark, f"{root}/progress"))
+    return by_query.select(F.regexp_extract("name", "_([a-z]+)$", 1).alias("format"), "input_rows", F.col("error").isNotNull().alias("failed"))
+
+
 def _fanned_out(spark, sf, root, exports):
     """Every ticket exported ``exports`` times, each time by a new export job
     with a checkpoint of its own into the same folders."""
@@ -319,6 +376,64 @@ def q_relational_replace(spark, sf):
     return read_parquet_dir(spark, f"{root}/table").select(*ENRICHED_FIELDS)
 
 
+def q_relational_replace_failed(spark, sf):
+    """K6: a replacement that fails while it writes leaves the old rows, in a
+    folder and in a catalog table."""
+    root = scratch_path(spark, "relational_replace_failed")
+    export = _exported_dirty(spark, sf, root)
+    table = f"replace_failed_{root[-12:]}"
+    load_relational(spark, export, path=f"{root}/table")
+    load_relational(spark, export, path=f"{root}/catalog", table=table, catalog=True)
+    broken = fx.routed_tickets(spark, sf).withColumn("request", F.when(F.col("ticket_id").endswith("7"), F.raise_error(F.lit("broken row")).cast("string")).otherwise(F.col("request")))
+    for target in ({"path": f"{root}/table"}, {"path": f"{root}/catalog", "table": table, "catalog": True}):
+        try:
+            replace_table(broken, **target)
+        except Exception as exc:
+            if "broken row" not in str(exc):
+                raise
+        else:
+            raise AssertionError("the load was to fail")
+    folder = read_loaded_table(spark, path=f"{root}/table").withColumn("target", F.lit("folder"))
+    return folder.unionByName(read_loaded_table(spark, table=table, catalog=True).withColumn("target", F.lit("catalog")))
+
+
+def q_columnar_catalog_append(spark, sf):
+    """A catalog table made by the first load and kept by the others.
+    Another load id adds rows, the same one takes the place of its first try."""
+    root = scratch_path(spark, "columnar_catalog_append")
+    export = _exported_dirty(spark, sf, root)
+    table = f"columnar_{root[-12:]}"
+    for load_id in ("monday", "tuesday", "tuesday"):
+        load_columnar(spark, export, path=f"{root}/table", table=table, catalog=True, load_id=load_id)
+    return spark.table(table)
+
+
+def q_columnar_rerun(spark, sf):
+    """J4 on a folder: a load that died half-way and ran again equals one load."""
+    root = scratch_path(spark, "columnar_rerun")
+    export = _exported_dirty(spark, sf, root)
+    broken = fx.routed_tickets(spark, sf).withColumn("request", F.when(F.col("ticket_id").endswith("7"), F.raise_error(F.lit("broken row")).cast("string")).otherwise(F.col("request")))
+    try:
+        append_columnar(broken, path=f"{root}/table", load_id="monday")
+    except Exception as exc:
+        if "broken row" not in str(exc):
+            raise
+    for load_id in ("monday", "monday", "tuesday"):
+        load_columnar(spark, export, path=f"{root}/table", load_id=load_id)
+    return read_loaded_table(spark, path=f"{root}/table")
+
+
+def q_distinct_incremental(spark, sf):
+    """C2 on a growing export: three batches, each compared with the stored
+    keys of the others; the second is run twice."""
+    root = scratch_path(spark, "distinct_incremental")
+    store = DistinctStore(spark, root, f"distinct_{root[-12:]}", buckets=8)
+    dirty = fx.dirty_tickets(spark, sf)
+    for batch_id, batch in (("a", dirty), ("b", dirty.unionByName(fx.routed_tickets(spark, sf))), ("b", dirty.unionByName(fx.routed_tickets(spark, sf))), ("c", dirty)):
+        store.add(batch, batch_id)
+    return store.rows(ENRICHED_FIELDS)
+
+
 def q_columnar_append(spark, sf):
     """Cleaned rows; the second run appends them again."""
     root = scratch_path(spark, "columnar_append")
@@ -352,6 +467,12 @@ def q_analyse_csv(spark, sf):
     return file_sinks.read_csv(spark, result.paths["csv"], ENRICHED_SCHEMA)
 
 
+def q_analyse_columns(spark, sf):
+    """The columns that J2 reports, in their order."""
+    columns = _analysed(spark, sf, "analyse_columns").columns
+    return spark.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in columns])).alias("position", "column_name"))
+
+
 def q_analyse_by_day(spark, sf):
     """J2 end to end; the daily chart table read back."""
     return spark.read.parquet(_analysed(spark, sf, "analyse_by_day").paths["by_day"])
@@ -410,6 +531,17 @@ def _dashboard(name):
     return run
 
 
+def q_dashboard_incremental(spark, sf):
+    """J7 from counts that grow with the exports: three exports into the same
+    folders, each counted once when it has come."""
+    root = scratch_path(spark, "dashboard_incremental")
+    log = _published_log(spark, sf, root)
+    for i in range(3):
+        run_export(read_message_log(spark, log), f"{root}/parquet", f"{root}/json", f"{root}/ckpt{i}", mode="foreach_batch", available_now=True)
+        update_cube(spark, f"{root}/parquet", f"{root}/cube")
+    return dashboard_from_cube(spark, f"{root}/cube", "team_day")
+
+
 def q_summary_text(spark, sf):
     """K5: the text summary written and read back (lines; order is checked in tests)."""
     path = scratch_path(spark, "summary_text")
@@ -469,5 +601,15 @@ QUERIES = {
     "analyse_by_priority": q_analyse_by_priority,
     "any_nulls": q_any_nulls,
     "load_guards": q_load_guards,
+    "tickets_by_day_formats": q_tickets_by_day_formats,
+    "union_mixed_types": q_union_mixed_types,
+    "stream_from_now": q_stream_from_now,
+    "stream_progress": q_stream_progress,
+    "relational_replace_failed": q_relational_replace_failed,
+    "columnar_catalog_append": q_columnar_catalog_append,
+    "columnar_rerun": q_columnar_rerun,
+    "distinct_incremental": q_distinct_incremental,
+    "dashboard_incremental": q_dashboard_incremental,
+    "analyse_columns": q_analyse_columns,
     **{f"dashboard_{name}": _dashboard(name) for name in DASHBOARD_SQL},
 }

@@ -1,5 +1,7 @@
 from tessera.sources.files import (
     NoDataError,
+    data_file_names,
+    footer_row_count,
     has_data_files,
     list_data_files,
     load_exports,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.schemas import ENRICHED_SCHEMA
+from tessera.sources.mixed import merged_schema, read_mixed_parquet
 
 
 class NoDataError(FileNotFoundError):
@@ -32,12 +33,19 @@ def read_parquet_dir(spark: SparkSession, path, merge_schema: bool = True, schem
     lacks one, as concatenating per-file frames would (one distributed pass
     over the footers). With an explicit ``schema`` no footer is read up front.
     Folder names such as ``batch_id=3`` are no columns, and nested folders are
-    read as the listing (``list_data_files``) lists them.
+    read as the listing (``list_data_files``) lists them. Files that give a
+    column different types are read in groups and cast (``sources.mixed``).
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.option("recursiveFileLookup", "true")
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", str(merge_schema).lower())
-    return reader.parquet(*paths)
+    if schema is not None:
+        return reader.schema(schema).parquet(*paths)
+    if not merge_schema:
+        return reader.option("mergeSchema", "false").parquet(*paths)
+    merged = merged_schema(spark, paths)  # the pass over the footers
+    if merged is not None:
+        return reader.schema(merged).parquet(*paths)
+    return read_mixed_parquet(spark, [f for p in paths for f in data_file_names(spark, p)])
 
 
 def read_json_dir(spark: SparkSession, path, schema=ENRICHED_SCHEMA, mode: str = "PERMISSIVE") -> DataFrame:
@@ -82,6 +90,27 @@ def list_data_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return listing.select("path")
 
 
+def data_file_names(spark: SparkSession, path: str, pattern: str = "*.parquet") -> list[str]:
+    """The listed files by name, on the driver (which holds them anyway to plan a scan)."""
+    return [row["path"] for row in list_data_files(spark, path, pattern).collect()]
+
+
+def footer_row_count(spark: SparkSession, path, schema) -> DataFrame:
+    """A6 from the files' footers: one row, ``n_rows``.
+
+    The scan pushes COUNT(*) down to Parquet, so a task opens a file's footer
+    and reads no page of it. That takes Spark's newer Parquet source, which is
+    chosen in a session of its own: settings of the caller's stay as they are.
+    """
+    session = spark.newSession()
+    v1 = [s for s in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if s.strip() != "parquet"]
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    paths = [path] if isinstance(path, str) else list(path)
+    scan = session.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+    return scan.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def has_data_files(spark: SparkSession, path: str, pattern: str) -> bool:
     """True when at least one matching file exists (lists, reads one name)."""
     try:

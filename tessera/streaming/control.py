@@ -16,13 +16,14 @@ def with_trigger(writer: DataStreamWriter, trigger: str | None = "15 seconds", a
     return writer
 
 
-def await_queries(queries, run_seconds: float | None = None, poll_seconds: float = 0.5) -> bool:
+def await_queries(queries, run_seconds: float | None = None, poll_seconds: float = 0.5, watch=None) -> bool:
     """T4 + T5: wait on all ``queries``; the failure of any one stops the
     others and is raised.
 
     With ``run_seconds`` every query is stopped once that time has passed and
     False is returned; True means every query ended by itself (for example an
-    ``availableNow`` run that consumed its input).
+    ``availableNow`` run that consumed its input). ``watch`` is called at
+    every poll while queries run.
     """
     queries = list(queries)
     deadline = None if run_seconds is None else time.monotonic() + run_seconds
@@ -37,6 +38,8 @@ def await_queries(queries, run_seconds: float | None = None, poll_seconds: float
                 return True
             if deadline is not None and time.monotonic() >= deadline:
                 return False
+            if watch is not None:
+                watch()
             running[0].awaitTermination(poll_seconds)
     except BaseException:
         stop_all(queries)

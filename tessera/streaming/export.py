@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.operators.transform import enrich_messages
 from tessera.session import run_concurrently
 from tessera.streaming.control import await_queries, with_trigger
+from tessera.streaming.progress import recorded_progress
+from tessera.streaming.start import EARLIEST, LATEST, start_at_now, without_messages
 
 
 def enriched_stream(source: DataFrame, strict: bool = False) -> DataFrame:
@@ -85,13 +87,28 @@ def start_export(
     available_now: bool = False,
     name: str | None = None,
     files_per_batch: int | None = None,
+    starting: str = EARLIEST,
+    backlog: DataFrame | None = None,
 ) -> list:
     """Start the export queries (K1, K2, K3, T1-T3); returns them.
 
+    ``starting="latest"`` (S1, for folder-backed logs) exports only messages
+    that come after the first start, see ``streaming.start``; ``backlog`` is
+    then the same stream ``without_messages``. In ``dual`` mode
+    each query takes its own position, as it keeps its own checkpoint.
+
     ``files_per_batch`` applies to ``foreach_batch`` mode (see
     ``write_batch_both``); in ``dual`` mode each task writes its own file.
     """
+    if starting not in (EARLIEST, LATEST):
+        raise ValueError(f"unknown start position {starting!r}")
+    if starting == LATEST and backlog is None:
+        raise ValueError("a start at the latest message needs the stream without messages (see streaming.start)")
     if mode == "dual":
+        if starting == LATEST:
+            for fmt, path, checkpoint in (("parquet", parquet_path, checkpoint_path), ("json", json_path, checkpoint_path + "_json")):
+                # Through the sink itself: its commit log must hold every batch of the checkpoint.
+                start_at_now(backlog, checkpoint, lambda rows, to=(fmt, path, checkpoint): await_queries([_file_query(rows, *to, None, True, None)]))
         first = _file_query(enriched, "parquet", parquet_path, checkpoint_path, trigger, available_now, name and f"{name}_parquet")
         try:
             second = _file_query(enriched, "json", json_path, checkpoint_path + "_json", trigger, available_now, name and f"{name}_json")
@@ -100,6 +117,9 @@ def start_export(
             raise
         return [first, second]
     if mode == "foreach_batch":
+        if starting == LATEST:
+            nothing = lambda rows: rows.writeStream.foreachBatch(lambda batch, batch_id: None).option("checkpointLocation", checkpoint_path)
+            start_at_now(backlog, checkpoint_path, lambda rows: await_queries([with_trigger(nothing(rows), None, True).start()]))
 
         ids: list[str] = []
 
@@ -125,13 +145,26 @@ def run_export(
     available_now: bool = False,
     run_seconds: float | None = None,
     files_per_batch: int | None = None,
+    starting: str = EARLIEST,
+    progress_path: str | None = None,
 ) -> bool:
     """J1 end to end: start, then wait until the queries end, fail or time out.
 
     Restarting with the same ``checkpoint_path`` continues where the last run
-    stopped (T6).
+    stopped (T6). With ``progress_path`` every micro-batch's progress is added
+    to a table there, while the export runs (see ``streaming.progress``).
     """
-    queries = start_export(
-        enriched_stream(source), parquet_path, json_path, checkpoint_path, mode, trigger, available_now, files_per_batch=files_per_batch
-    )
-    return await_queries(queries, run_seconds)
+    with recorded_progress(source.sparkSession, progress_path) as progress:
+        queries = start_export(
+            enriched_stream(source),
+            parquet_path,
+            json_path,
+            checkpoint_path,
+            mode,
+            trigger,
+            available_now,
+            files_per_batch=files_per_batch,
+            starting=starting,
+            backlog=enriched_stream(without_messages(source)) if starting == LATEST else None,
+        )
+        return await_queries(queries, run_seconds, watch=progress.watch(queries))

@@ -16,6 +16,7 @@ from tessera.operators import (
     value_counts,
 )
 from tessera.plans import fixtures as fx
+from tessera.sources import footer_row_count, list_data_files, read_parquet_dir
 
 
 def test_value_counts_order_and_nulls(spark):
@@ -89,11 +90,9 @@ def test_preview_is_top_k(spark, sf01):
 
 
 def test_row_and_file_counts(spark, scratch):
-    from tessera.sources import list_data_files, read_parquet_dir
-
     for where in ("id < 3", "id >= 3", "false"):  # the last file has no rows
         spark.range(10).where(where).coalesce(1).write.mode("append").parquet(f"{scratch}/p")
-    r = row_and_file_counts(read_parquet_dir(spark, f"{scratch}/p"), list_data_files(spark, f"{scratch}/p", "*.parquet")).first()
+    r = row_and_file_counts(footer_row_count(spark, f"{scratch}/p", read_parquet_dir(spark, f"{scratch}/p").schema), list_data_files(spark, f"{scratch}/p", "*.parquet")).first()
     assert (r.n_rows, r.n_files) == (10, 3)
 
 
@@ -128,3 +127,14 @@ def test_strict_dates_fail_without_ansi_too(spark, dates):
             assert tickets_per_day(dates.where("created_at != 'bad-date'"), mode="strict").count() == 2
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_rows_are_counted_from_footers(spark, scratch):
+    spark.range(100, numPartitions=4).selectExpr("id", "cast(id AS string) AS name").write.parquet(f"{scratch}/p")
+    spark.range(0).selectExpr("id", "cast(id AS string) AS name").write.mode("append").parquet(f"{scratch}/p")
+    before = dict(spark.conf.getAll)
+    counted = footer_row_count(spark, f"{scratch}/p", "id long, name string")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert [r.n_rows for r in counted.collect()] == [100]
+    assert dict(spark.conf.getAll) == before  # the caller's settings stay
