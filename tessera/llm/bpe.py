@@ -32,13 +32,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import table, text_slices
+from tessera.llm.common import table, text_slices, trimmed
 
 WINDOW = 16
 CHUNK_BITS = 9  # cuts lie 512 bytes apart on average
 #: Bytes of Python memory that a task's caches of chunks and of words may take.
-CHUNK_CACHE_BYTES = 40 << 20
-WORD_CACHE_BYTES = 40 << 20
+CHUNK_CACHE_BYTES = 32 << 20
+WORD_CACHE_BYTES = 80 << 20
 #: What an entry takes besides its contents; longer words and chunks are not kept.
 CHUNK_ENTRY_BYTES, WORD_ENTRY_BYTES = 450, 330
 LONGEST_CHUNK, LONGEST_WORD = 8192, 256
@@ -148,8 +148,10 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
         """Per text: its ids as little-endian unsigned 32-bit integers, and
         the decoded text in UTF-8."""
-        if self.word_size > self.word_limit or self.chunk_size > self.chunk_limit:
-            self.forget()
+        if self.word_size > self.word_limit:
+            self.words, self.word_size = {}, 0
+        if self.chunk_size > self.chunk_limit:
+            self.chunks, self.chunk_size = {}, 0
         raw = data.tobytes()
         if self.lowers and b"<|" not in raw:  # else a special token might appear by lowering
             raw = raw.lower()  # ASCII letters, as the tokenizer does itself
@@ -256,7 +258,7 @@ def _run(docs: DataFrame, path: str | None, schema: str, make) -> DataFrame:
         finally:
             encoder.forget()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), schema)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS_SQL, Words, stored, table, text_slices, word_hashes
+from tessera.llm.common import WORDS_SQL, Words, stored, table, text_slices, trimmed, word_hashes
 
 WINDOW_WORDS = 10
 #: Words a term may be off its place in a proximity match.
@@ -184,7 +184,7 @@ def _text_hash():
 def build_index(docs: DataFrame, windows) -> DataFrame:
     """The stored index of ``docs`` for the terms of a broadcast ``Windows``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), _text_hash().alias("text_hash"), "text")
-    return stored(rows.mapInArrow(_index_task(windows), _INDEX), "positional-index")
+    return stored(rows.mapInArrow(trimmed(_index_task(windows)), _INDEX), "positional-index")
 
 
 def search_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS, slop: int = SLOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -203,7 +203,7 @@ def search_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_
         pairs = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x"))
         counts = pairs.groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.counts").alias("n")).collect()
         windows.rarest_first({r["term"]: r["n"] for r in counts})
-        hits = index.mapInArrow(_search_task(spark.sparkContext.broadcast(windows)), _HITS)
+        hits = index.mapInArrow(trimmed(_search_task(spark.sparkContext.broadcast(windows))), _HITS)
         found = hits if found is None else found.unionByName(hits)
     if blocks == 1:
         return found

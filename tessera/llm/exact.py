@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shuffle_partitions, stored, table
+from tessera.llm.common import shuffle_partitions, stored, table, trimmed
 
 #: Bytes of text (UTF-8, with an allowance per entry) that one table holds.
 TABLE_BYTES = 64 << 20
@@ -158,7 +158,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     ).select("doc_id", "row", normal.alias("text"), F.char_length("text").alias("chars"), F.sha2(normal, 256).alias("sha"), F.sha2("text", 256).alias("raw_sha"))
     # Written once: the row numbers and representatives below all come from
     # this table, whatever is lost or run again later.
-    scanned = stored(rows.mapInArrow(_scan_task(table_bytes), _SCAN), "exact-scan")
+    scanned = stored(rows.mapInArrow(trimmed(_scan_task(table_bytes)), _SCAN), "exact-scan")
     records = scanned.where(F.col("text").isNotNull()).select("rep", "text", "size", "n", "best_chars", "best_id", "best_row")
     groups, level = None, 0
     while True:
@@ -167,7 +167,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
             break
         buckets = max(shuffle_partitions(docs.sparkSession), -(-2 * total // table_bytes))
         dealt = records.repartition(int(buckets), F.xxhash64(F.lit(level), "text"))
-        found = stored(dealt.mapInArrow(_bucket_task(table_bytes), _GROUPS), f"exact-groups-{level}")
+        found = stored(dealt.mapInArrow(trimmed(_bucket_task(table_bytes)), _GROUPS), f"exact-groups-{level}")
         done = found.where(F.col("text").isNull()).select("rep", "keep_id", "keep_row", "group_size")
         groups = done if groups is None else groups.unionByName(done)
         records = found.where(F.col("text").isNotNull()).select("rep", "text", "size", "n", "best_chars", "best_id", "best_row")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS_SQL, Words, mix, stored, table, text_slices
+from tessera.llm.common import WORDS_SQL, Words, mix, stored, table, text_slices, trimmed
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -241,7 +241,7 @@ def jaccard_groups(docs: DataFrame, similarity: float = SIMILARITY, shingle: int
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     ids = F.col("doc_id").cast("long").alias("doc_id")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), ids, text_hash.alias("text_hash"), "text")
-    signed = stored(rows.mapInArrow(_sign_task(shingle, trees, depth), _SIGN), "jaccard-signatures")
+    signed = stored(rows.mapInArrow(trimmed(_sign_task(shingle, trees, depth)), _SIGN), "jaccard-signatures")
     # The representative has the smallest doc_id (null last), then row.
     order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "row", "doc_id", "text_hash", "keys")
     classes = signed.where("n > 0").groupBy("digest").agg(F.min(order).alias("x"), F.count("*").alias("copies"))
@@ -260,11 +260,11 @@ def jaccard_groups(docs: DataFrame, similarity: float = SIMILARITY, shingle: int
     wanted = members.select("rep").distinct().join(classes, "rep").select("rep", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash"))
     texts = docs.select(ids, "text", text_hash.alias("text_hash"))
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("want_id")) & (F.col("text_hash") == F.col("want_hash"))).select("rep", "text")
-    sets = stored(texts.mapInArrow(_set_task(shingle), "rep bigint, shingles binary"), "jaccard-sets").join(classes.select("rep", "copies", "keys"), "rep")
+    sets = stored(texts.mapInArrow(trimmed(_set_task(shingle)), "rep bigint, shingles binary"), "jaccard-sets").join(classes.select("rep", "copies", "keys"), "rep")
 
     tasks = members.join(sets, "rep").select(F.xxhash64("tree", "prefix").alias("bucket"), "tree", "low", "high", "rep", "block", "copies", "keys", "shingles")
     tasks = tasks.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    found = stored(tasks.mapInArrow(_verify_task(similarity), _FOUND), "jaccard-links")
+    found = stored(tasks.mapInArrow(trimmed(_verify_task(similarity)), _FOUND), "jaccard-links")
     linked = found.groupBy("rep").agg(F.sum("links").alias("links"), F.sum("docs").alias("docs"))
     roots = connected(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
 

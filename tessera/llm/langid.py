@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table, text_slices
+from tessera.llm.common import table, text_slices, trimmed
 
 TRAIN_ROWS = 1200
 LANDMARKS = 128
@@ -136,13 +136,17 @@ class Model:
         return out
 
 
+#: Bytes of text whose n-grams are held at once (a longer text goes alone).
+ROUND_BYTES = 1 << 19
+
+
 def _held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
 
 
 def _sample_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, data, offsets in text_slices(batch.column(2)):
+        for lo, hi, data, offsets in text_slices(batch.column(2), ROUND_BYTES):
             pairs, count, has = grams(data, offsets)
             ends = np.cumsum(count)
             sets = [(pairs[e - n : e] & _LOW).astype("<u8").tobytes() if h else b"" for e, n, h in zip(ends, count, has)]
@@ -182,7 +186,7 @@ def _score_task(model):
         m: Model = model.value
         names = np.array([*m.langs, UNKNOWN], object)
         for batch in batches:
-            for lo, hi, data, offsets in text_slices(batch.column(2)):
+            for lo, hi, data, offsets in text_slices(batch.column(2), ROUND_BYTES):
                 pairs, count, has = grams(data, offsets)
                 best, score = np.full(hi - lo, len(m.langs)), np.zeros(hi - lo)
                 if m.langs:
@@ -199,7 +203,7 @@ def identify(docs: DataFrame, model: Model | None = None, **options) -> DataFram
     """doc_id, held_out, lang_pred and score of every row."""
     model = model or fit(docs, **options)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(_score_task(docs.sparkSession.sparkContext.broadcast(model)), _OUT)
+    return rows.mapInArrow(trimmed(_score_task(docs.sparkSession.sparkContext.broadcast(model))), _OUT)
 
 
 def accepted(docs: DataFrame, model: Model | None = None, **options) -> DataFrame:
@@ -212,12 +216,12 @@ def accepted(docs: DataFrame, model: Model | None = None, **options) -> DataFram
         m: Model = shared.value
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for lo, hi, data, offsets in text_slices(batch.column(batch.schema.get_field_index("text"))):
+            for lo, hi, data, offsets in text_slices(batch.column(batch.schema.get_field_index("text")), ROUND_BYTES):
                 pairs, count, has = grams(data, offsets)
                 keep[lo:hi] = has & np.isfinite(m.margins(pairs, count).max(axis=1)) if m.langs else has
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
