@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, each in a module of its own.
+"""Training-data operators: thirteen corpus operators, each in a module of its own.
 
 ``registry.QUERIES`` and ``registry.ORACLE_SQL`` hold the driver queries.
 Nothing outside this package imports it except the guarded import in

@@ -1,0 +1,119 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.llm import tokenbin
+from tessera.llm.bpe import default_tokenizer_path
+
+ODD = [
+    "", None, "<|endoftext|> a", "x<|ENDOFTEXT|>y <|startoftext|>", "ΑΣ ΑΣ. ΟΔΟΣ", "a b ̈x c\x1cd\x85e", "É." * 50 + "x" * 3000,
+    "don't I'LL 's", "Ⅷ ① ½ 漢字。かな", "👍🏽 ok", "İ. KK", "\x00 a\x00b", "a .\n b. , c", " \n\t ", "word " * 60_000, "漢字" * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def encode():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(default_tokenizer_path())
+    return lambda t: [*tokenizer.encode(t or "", add_special_tokens=False).ids, tokenbin.END_ID]
+
+
+def crc(ids):
+    return zlib.crc32(np.asarray(ids, "<u4").tobytes())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 5000) | st.just(1), max_size=700), st.sampled_from([1, 3, 64, 128]))
+def test_select(sizes, every):
+    ends = np.cumsum(np.array(sizes, np.int64))
+    made = tokenbin.EliasFano.encode(ends, every)
+    assert made.select(np.arange(len(ends))).tolist() == ends.tolist()
+    back = np.random.default_rng(0).permutation(len(ends))
+    assert made.select(back).tolist() == ends[back].tolist()
+    with pytest.raises(IndexError):
+        made.select(np.array([len(ends)]))
+
+
+def test_space_of_the_boundaries():
+    """About n * (2 + log2(u / n)) bits and the samples: a fifth of 64-bit offsets here."""
+    ends = np.cumsum(np.random.default_rng(1).integers(1, 600, 50_000))
+    stored = sum(map(len, tokenbin.EliasFano.encode(ends).parts()))
+    assert stored * 8 <= len(ends) * (2.7 + np.log2(ends[-1] / len(ends)) + 32 / tokenbin.SAMPLE)
+    assert tokenbin.EliasFano.encode(ends).select(np.array([0, 49_999])).tolist() == [ends[0], ends[-1]]
+
+
+def test_sparse_and_long_documents():
+    ends = np.array([1, 2, 3, 3_000_000_000, 3_000_000_001])
+    assert tokenbin.EliasFano.encode(ends).select(np.arange(5)).tolist() == ends.tolist()
+
+
+def test_segment_round_trip():
+    ids = np.arange(1000, dtype="<u2")
+    made = tokenbin.Segment.from_bytes(tokenbin.Segment(ids, tokenbin.EliasFano.encode(np.array([1, 10, 10 + 400, 1000]), 2)).to_bytes())
+    assert [made.document(i).tolist() for i in range(4)] == [list(range(a, b)) for a, b in ((0, 1), (1, 10), (10, 410), (410, 1000))]
+    with pytest.raises(ValueError):
+        tokenbin.Segment.from_bytes(b"\0" * 100)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aB .,\n'sé×…́<|>9 漢ΣİK-"), max_size=60), min_size=1, max_size=5))
+def test_rounds_equal_the_library(texts):
+    encoder = _encoder()
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+    ids, counts = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets, 2)
+    want = [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+def _encoder(kept=[]):
+    if not kept:
+        kept.append(tokenbin.RoundEncoder(default_tokenizer_path(), words_bytes=20_000))
+    return kept[0]
+
+
+def test_words_that_share_a_hash(monkeypatch):
+    monkeypatch.setattr(tokenbin, "_word_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    raw = b"the cat sat on the mat"
+    ids, _ = _encoder().encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 2)
+    assert ids.tolist() == [*_encoder().tokenizer.encode(raw.decode(), add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"segment_ids": 500, "range_bytes": 100_000}])
+def test_files(spark, make_docs, scratch, encode, sf001_texts, bounds):
+    rows = [(50 + i, t) for i, t in enumerate(ODD)] + [(1000 - i, t) for i, t in sf001_texts.items()] + [(None, "first of all"), (60, "again"), (60, "again")]
+    tokenbin.write_ids(make_docs(rows, 5), f"{scratch}/ids", **bounds)
+    got = tokenbin.read_ids(spark, f"{scratch}/ids").orderBy("start").collect()
+    assert sorted(((r["doc_id"], r["ids"]) for r in got), key=str) == sorted(((i, encode(t)) for i, t in rows), key=str)
+    named = [r["doc_id"] for r in got]
+    assert named[0] is None and named[1:] == sorted(named[1:])
+    at = 0
+    for r in got:
+        assert r["start"] == at
+        at += len(r["ids"])
+    sums = {(r["start"], r["doc_id"]): (r["n_tokens"], r["ids_crc32"]) for r in tokenbin.checksums(spark, f"{scratch}/ids").collect()}
+    assert sums == {(r["start"], r["doc_id"]): (len(r["ids"]), crc(r["ids"])) for r in got}
+
+
+def test_a_hot_doc_id_is_spread(spark, make_docs, scratch):
+    tokenbin.write_ids(make_docs([(7, f"text {i % 5}") for i in range(400)] + [(i, "x") for i in range(7)], 4), f"{scratch}/ids")
+    parts = tokenbin.segments(spark, f"{scratch}/ids").groupBy("part").sum("n_docs").collect()
+    assert len(parts) >= 6 and max(r[1] for r in parts) < 150
+
+
+def test_empty(spark, make_docs, scratch):
+    tokenbin.write_ids(make_docs([]), f"{scratch}/ids")
+    assert tokenbin.read_ids(spark, f"{scratch}/ids").collect() == tokenbin.checksums(spark, f"{scratch}/ids").collect() == []
+
+
+def test_query(spark, sf001, sf001_texts, encode):
+    want, at = [], 0
+    for i in sorted(sf001_texts):
+        ids = encode(sf001_texts[i])
+        want.append((i, at, len(ids), crc(ids)))
+        at += len(ids)
+    assert sorted(map(tuple, tokenbin.op13_tokenbin(spark, sf001).collect())) == want
