@@ -17,9 +17,9 @@
    (``article`` or ``main``, or their roles). A page without one takes the
    block path that has the most slot text outside links on its host.
    Inside a marked main element a text block counts as boilerplate only if it
-   belongs to the root class of a host of ``SURE_PAGES`` distinct pages and
-   the article otherwise differs from the host's others (``_differs``): the
-   pages of a host may all be versions of one article.
+   belongs to the root class of its host's template (it stands once in every
+   distinct page) and the article otherwise differs from the host's others
+   (``_differs``): the pages of a host may all be versions of one article.
 4. What HTML itself marks as no article goes in any case: menus, headers,
    footers, sidebars, forms, scripts, styles, and elements whose class, id or
    role names a notice, an advert, reader comments and the like.
@@ -50,7 +50,6 @@ from tessera.llm.common import stored, table
 
 LEAST_PAGES = 3
 LEAST_SHARE = 0.5
-SURE_PAGES = 8
 #: A token that every page has once, whatever its markup.
 ROOT = "page"
 #: Bytes of template rows up to which they are sent to all tasks.
@@ -238,7 +237,7 @@ def _host():
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
     """One row per host with a template: host, boilerplate (its text tokens),
-    sure (those of the root class of a large host), slot (the block path with
+    sure (those of the root class), slot (the block path with
     the most slot text)."""
     rows = pages.select(_host().alias("host"), "html").where("host <> ''")
     # One row per host, distinct page and token.
@@ -260,7 +259,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     # Nested under the template: the element that holds the token is in the template as well.
     holders = candidate.where("NOT is_text").select("host", F.col("token").alias("path")).distinct()
     is_root = (F.col("v1") == F.col("root1")) & (F.col("v2") == F.col("root2"))
-    texts = valid.where("is_text").select("host", "token", "path", (is_root & (F.col("all") >= SURE_PAGES)).alias("sure"))
+    texts = valid.where("is_text").select("host", "token", "path", is_root.alias("sure"))
     texts = texts.join(holders, ["host", "path"], "left_semi")
     template = texts.groupBy("host").agg(F.collect_set("token").alias("boilerplate"), F.collect_set(F.when(F.col("sure"), F.col("token"))).alias("sure"))
     slots = vectors.where("is_text AND size > 0").join(texts.select("host", "token"), ["host", "token"], "left_anti").join(root.select("host"), "host")

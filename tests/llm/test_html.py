@@ -56,16 +56,34 @@ def test_only_copies_are_no_template(make_pages):
 
 
 def test_root_class_inside_the_article(make_pages):
+    """The same page gives the same text however many pages its host has."""
     page = "<body><article><p>Own text {n}</p><p>Shown everywhere</p></article></body>"
-    many, few = ([(i, f"http://{k}.org/{i}", page.format(n=i)) for i in range(k)] for k in (h.SURE_PAGES, h.SURE_PAGES - 1))
-    assert texts(h.extract(make_pages(many)))[1] == "Own text 1"
-    assert texts(h.extract(make_pages(few)))[1] == "Own text 1\n\nShown everywhere"
+    for k in (h.LEAST_PAGES, 7, 8, 20):
+        got = texts(h.extract(make_pages([(i, f"http://k.org/{i}", page.format(n=i)) for i in range(k)])))
+        assert got == {i: f"Own text {i}" for i in range(k)}
+
+
+def test_table_without_main_elements(spark, sf01):
+    """The table's pages with the article element taken away, gathered on
+    twelve hosts that add a frame of plain blocks: there the template decides."""
+    frame = "<div class='w'><div class='t'>Site {k} welcomes you back</div><div class='s'><span>Write to office {k}</span></div>"
+    rows = spark.read.parquet(f"{sf01}/pages.parquet").collect()
+    pages, want = [], {}
+    for r in rows:
+        k = r["page_id"] % 12
+        body = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        pages.append((r["page_id"], f"http://site{k}.org/{r['page_id']}", "<html><body>" + frame.format(k=k) + f"<div class='c'>{body}</div><div class='b'>All rights stay with site {k}</div></div></body></html>"))
+        want[r["page_id"]] = article(r["html"])
+    got = texts(h.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)))
+    alone = {i: h.main_text(html) for i, _, html in pages}  # templates off
+    assert all("welcomes you back" in t and "All rights stay" in t for t in alone.values())
+    assert got == want
 
 
 @pytest.mark.parametrize("changed", ["<p>Seen on day {n}</p>", "</article><p>token {n}</p><article>", "<script>{n}</script>", "<p>Rewritten words of version {n}, longer than all the others</p>" * 4])
 def test_versions_of_one_article_keep_their_text(make_pages, changed):
     page = "<body><article><h1>One title</h1><p>First paragraph</p>" + changed + "<p>Second paragraph</p></article></body>"
-    got = texts(h.extract(make_pages([(i, f"http://v.org/{i}", page.format(n=i)) for i in range(h.SURE_PAGES + 2)])))
+    got = texts(h.extract(make_pages([(i, f"http://v.org/{i}", page.format(n=i)) for i in range(10)])))
     assert got == {i: h.main_text(page.format(n=i)) for i in got} and "First paragraph" in got[3] and "Second paragraph" in got[3]
 
 
