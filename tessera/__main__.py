@@ -4,11 +4,12 @@
     python -m tessera export   --log DIR | --kafka HOST:PORT [--topic T]
                                --parquet DIR --json DIR --checkpoint DIR
                                [--mode dual|foreach_batch] [--trigger "15 seconds" | --available-now]
-                               [--run-seconds N]
+                               [--run-seconds N] [--from-now] [--progress DIR]
     python -m tessera replay   --log DIR | --kafka HOST:PORT --checkpoint DIR [--out DIR | --preview] [--follow]
-    python -m tessera analyse  --parquet DIR --json DIR --out DIR [--date-mode lenient|strict|skip]
-    python -m tessera load-relational --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
-    python -m tessera load-columnar   --parquet DIR (--path DIR | --jdbc-url URL [--jdbc-option k=v ...])
+    python -m tessera analyse  --parquet DIR --json DIR --out DIR [--date-mode lenient|strict|skip|inferred]
+    python -m tessera load-relational --parquet DIR (--path DIR [--catalog] | --jdbc-url URL [--jdbc-option k=v ...])
+    python -m tessera load-columnar   --parquet DIR (--path DIR [--catalog] [--load-id ID] | --jdbc-url URL [--jdbc-option k=v ...])
+    python -m tessera dashboard       --parquet DIR --cube DIR [--name tickets_by_team]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so
 ``spark-submit`` settings (master, shared checkpoint folder, object-store
@@ -106,6 +107,8 @@ def build_parser() -> argparse.ArgumentParser:
     export.add_argument("--mode", choices=["dual", "foreach_batch"], default="dual")
     export.add_argument("--trigger", default="15 seconds")
     export.add_argument("--available-now", action="store_true")
+    export.add_argument("--from-now", action="store_true", help="log folders: only messages that come after the first start")
+    export.add_argument("--progress", help="folder for a table of each micro-batch's progress")
     export.add_argument("--files-per-batch", type=int, help="foreach_batch mode: files per format per micro-batch")
     replay = sub.choices["replay"]
     replay.add_argument("--out", help="folder for the replayed tickets (default: CHECKPOINT_records)")
@@ -117,7 +120,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--parquet", required=True)
     p.add_argument("--json", required=True)
     p.add_argument("--out", required=True)
-    p.add_argument("--date-mode", choices=["lenient", "strict", "skip"], default="lenient")
+    p.add_argument("--date-mode", choices=["lenient", "strict", "skip", "inferred"], default="lenient")
     p.add_argument("--priorities", nargs="+", help="also write the team and priority table with these columns")
 
     for name in ("load-relational", "load-columnar"):
@@ -127,11 +130,18 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--jdbc-url")
         p.add_argument("--jdbc-option", action="append")
         p.add_argument("--table", default=DEFAULT_TABLE)
+        p.add_argument("--catalog", action="store_true", help="a table of Spark's catalog, with its files under --path")
+    sub.choices["load-columnar"].add_argument("--load-id", help="name of this load: a second run under it replaces the first one's rows")
+
+    p = sub.add_parser("dashboard", help="count the part files that came since the last time, then print a dashboard statement")
+    p.add_argument("--parquet", required=True)
+    p.add_argument("--cube", required=True, help="folder of the counts")
+    p.add_argument("--name", default="tickets_by_team")
     return parser
 
 
 def _object_store_paths(args) -> list[str]:
-    names = ("log", "text_log", "tickets", "parquet", "json", "checkpoint", "out", "path", "events")
+    names = ("log", "text_log", "tickets", "parquet", "json", "checkpoint", "out", "path", "events", "cube", "progress")
     return [v for v in (getattr(args, n, None) for n in names) if isinstance(v, str) and v.startswith("s3a://")]
 
 
@@ -162,6 +172,8 @@ def run(args, spark: SparkSession) -> dict:
             available_now=args.available_now,
             run_seconds=args.run_seconds,
             files_per_batch=args.files_per_batch,
+            starting="latest" if args.from_now else "earliest",
+            progress_path=args.progress,
         )
         return {"finished": finished}
     if args.command == "replay":
@@ -193,8 +205,14 @@ def run(args, spark: SparkSession) -> dict:
         from tessera.plans.loads import load_columnar, load_relational
 
         load = load_relational if args.command == "load-relational" else load_columnar
-        loaded = load(spark, args.parquet, path=args.path, jdbc=_jdbc(args), table=args.table)
+        extra = {"load_id": args.load_id} if args.command == "load-columnar" else {}
+        loaded = load(spark, args.parquet, path=args.path, jdbc=_jdbc(args), table=args.table, catalog=args.catalog, **extra)
         return {"rows": loaded.rows, "files": loaded.files}
+    if args.command == "dashboard":
+        from tessera.plans.cube import dashboard_from_cube, update_cube
+
+        new = update_cube(spark, args.parquet, args.cube)
+        return {"new_files": len(new), args.name: [row.asDict() for row in dashboard_from_cube(spark, args.cube, args.name).collect()]}
     raise SystemExit(f"unknown command {args.command}")
 
 

@@ -71,3 +71,21 @@ def test_replay_follow_runs_until_stopped(spark, sf001, scratch):
               "--follow", "--trigger", "1 second", "--run-seconds", "15")
     assert out == {"finished": False}  # still listening when the time ran out
     assert read_parquet_dir(spark, f"{scratch}/r").count() == 1000
+
+
+def test_export_from_now_loads_and_dashboard(spark, sf001, scratch):
+    export = ("export", "--log", f"{scratch}/log", "--parquet", f"{scratch}/p", "--json", f"{scratch}/j", "--checkpoint", f"{scratch}/ck", "--available-now", "--from-now", "--progress", f"{scratch}/progress")
+    cli(spark, "publish", "--events", sf001, "--log", f"{scratch}/log")
+    assert cli(spark, *export) == {"finished": True}
+    cli(spark, "publish", "--events", sf001, "--log", f"{scratch}/log")
+    cli(spark, *export)
+    assert read_parquet_dir(spark, f"{scratch}/p").count() == 1000
+    for _ in range(2):
+        assert cli(spark, "load-columnar", "--parquet", f"{scratch}/p", "--path", f"{scratch}/c", "--load-id", "a")["rows"] == 1000
+    assert read_parquet_dir(spark, f"{scratch}/c").count() == 1000
+    table = f"cli_{scratch[-8:].replace('_', 'x').lower()}"
+    assert cli(spark, "load-relational", "--parquet", f"{scratch}/p", "--path", f"{scratch}/r", "--table", table, "--catalog")["rows"] == 1000
+    assert spark.table(table).count() == 1000
+    shown = cli(spark, "dashboard", "--parquet", f"{scratch}/p", "--cube", f"{scratch}/cube")
+    assert shown["new_files"] > 0 and sum(r["n"] for r in shown["tickets_by_team"]) == 1000
+    assert cli(spark, "dashboard", "--parquet", f"{scratch}/p", "--cube", f"{scratch}/cube")["new_files"] == 0
