@@ -49,7 +49,8 @@ def updates(spark: SparkSession, cube_dir: str) -> list[int]:
 
 def _read(spark: SparkSession, cube_dir: str, kind: str, schema: str, logged: list[int]) -> DataFrame:
     if not logged:
-        return spark.createDataFrame([], schema)
+        columns = [f.split() for f in schema.split(", ")]
+        return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
     return spark.read.schema(schema).parquet(*[f"{cube_dir.rstrip('/')}/{kind}/update={k}" for k in logged])
 
 
