@@ -17,8 +17,8 @@ range first, then over the ranges. Neither collects anything.
 
 Encoding works on whole rounds of text: a round's bytes are cut at ASCII white
 space, equal words are grouped by hash and compared byte for byte, each
-distinct word is looked up or encoded once by the tokenizers library, and the
-ids are gathered by array indexing. ``bpe.check_tokenizer`` makes sure that a
+distinct word is encoded once (``merges.WordEncoder``), and the ids are gathered
+by array indexing. ``bpe.check_tokenizer`` makes sure that a
 tokenizer drops white space and never merges across it.
 
 Defined results: null text counts as empty, which has the end id only; null
@@ -41,7 +41,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import check_tokenizer, default_tokenizer_path
-from tessera.llm.common import HASH_BYTES, mix, shuffle_partitions, table, text_slices, trimmed
+from tessera.llm.common import shuffle_partitions, table, text_slices, trimmed
+from tessera.llm.merges import WordEncoder, grouped, runs, words_at
 from tessera.session import scratch_path
 
 END_ID = 2
@@ -51,10 +52,9 @@ SEGMENT_IDS = 2 << 20
 SAMPLE = 128
 #: Bytes of text (UTF-8) that one range is planned for, and of one round of encoding.
 RANGE_BYTES = 64 << 20
-ROUND_BYTES = 1 << 20
-#: Bytes of Python memory that a task's words may take, and what an entry takes besides its word.
-WORDS_BYTES, WORD_ENTRY_BYTES = 48 << 20, 250
-LONGEST_WORD = 256
+ROUND_BYTES = 4 << 20
+#: Bytes of the segments' starts up to which they are sent to all tasks, and of one start.
+BROADCAST_BYTES, START_BYTES = 16 << 20, 32
 
 _SEGMENTS = "part int, segment int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, payload binary"
 _HEADER = struct.Struct("<4sBBHQQ")  # magic, id width, low bits, ends between samples, documents, ids
@@ -160,7 +160,7 @@ class Segment:
 class RoundEncoder:
     """Ids of many texts at once (see the module's text)."""
 
-    def __init__(self, path: str, words_bytes: int = WORDS_BYTES):
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -171,122 +171,28 @@ class RoundEncoder:
         self.tokenizer.no_padding()
         self.lowers, _ = check_tokenizer(self.tokenizer)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.limit = words_bytes
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}  # word -> its number
-        self.pool = np.zeros(1 << 16, f"<u{self.width}")  # the words' ids, one word after the other
-        self.at = np.zeros(1, np.int64)  # where they start
-        self.size = 0
-
-    def _learn(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of distinct words, new ones encoded."""
-        if self.size > self.limit:
-            self.forget()
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-            counts = np.array([len(x) for x in got], np.int64)
-            used, total = int(self.at[-1]), int(counts.sum())
-            if used + total > len(self.pool):
-                self.pool = np.concatenate([self.pool[:used], np.zeros(used + 2 * total, self.pool.dtype)])
-            self.pool[used : used + total] = np.fromiter((i for x in got for i in x), self.pool.dtype, total)
-            number = len(self.at) - 1
-            self.at = np.concatenate([self.at, used + np.cumsum(counts)])
-            for k, w in enumerate(new):
-                known[w] = number + k
-            self.size += sum(map(len, new)) + len(new) * WORD_ENTRY_BYTES + total * self.width
-        numbers = np.array([known[w] for w in words], np.int64)
-        for w in new:  # a long word serves this round only
-            if len(w) > LONGEST_WORD:
-                del known[w]
-        return numbers
+        self.words = WordEncoder(self.tokenizer, self.lowers)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and their numbers of ids."""
         raw = data.tobytes()
         if self.lowers and b"<|" not in raw:  # else a special token might appear by lowering
-            raw = raw.lower()
-        low = np.frombuffer(raw, np.uint8)
-        start, end = words_at(low, offsets)
+            data = np.frombuffer(raw.lower(), np.uint8)
+        start, end = words_at(data, offsets)
         docs = len(offsets) - 1
+        if not len(start):
+            return np.full(docs, end_id, f"<u{self.width}"), np.ones(docs, np.int64)
+        first, place = grouped(data, start, end)
+        ids, counts = self.words.encode(data, start[first], (end - start)[first])
+        at, size = (np.cumsum(counts) - counts)[place], counts[place]
         owner = np.searchsorted(offsets, start, "right") - 1
-        numbers = np.zeros(len(start), np.int64)
-        if len(start):
-            first, place = _grouped(low, start, end)
-            numbers = self._learn([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())])[place]
-        size = self.at[numbers + 1] - self.at[numbers]
         per_doc = np.bincount(owner, size, docs).astype(np.int64) + 1
-        out = np.empty(int(per_doc.sum()), self.pool.dtype)
-        out[np.cumsum(per_doc) - 1] = end_id
-        to = np.cumsum(size) - size + owner  # an end id stands after each text before
-        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(to, size) + step] = self.pool[np.repeat(self.at[numbers], size) + step]
+        out = np.full(int(per_doc.sum()), end_id, f"<u{self.width}")
+        out[runs(np.cumsum(size) - size + owner, size)] = ids[runs(at, size)]  # an end id stands after each text before
         return out, per_doc
 
 
-_SPACE = np.zeros(256, np.int8)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = 1
-
-
-def words_at(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs between ASCII white space and texts' bounds."""
-    n = len(data)
-    inside = np.zeros(n + 2, np.int8)
-    inside[1:-1] = 1 - _SPACE[data]
-    first, last = inside[1:] > inside[:-1], inside[1:] < inside[:-1]
-    cut = offsets[1:-1]
-    cut = cut[(cut > 0) & (cut < n)]
-    joined = cut[(inside[cut] == 1) & (inside[cut + 1] == 1)]
-    first[joined] = last[joined] = True
-    return np.flatnonzero(first), np.flatnonzero(last)
-
-
-def _grouped(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One occurrence of each distinct word, and each occurrence's place among
-    them. Words are grouped by hash and then compared with the one that stands
-    for them; should two words share a hash, the round is grouped by content."""
-    _, first, place = np.unique(_word_hashes(data, start, end), return_index=True, return_inverse=True)
-    size = end - start
-    stands = first[place]
-    same = bool((size == size[stands]).all())
-    for a in range(0, len(start), 1 << 15):  # compare byte by byte, some words at a time
-        if not same:
-            break
-        b = a + (1 << 15)
-        step = np.arange(int(size[a:b].sum())) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
-        same = bool((data[np.repeat(start[a:b], size[a:b]) + step] == data[np.repeat(start[stands[a:b]], size[a:b]) + step]).all())
-    if same:
-        return first, place
-    raw, seen = data.tobytes(), {}
-    place = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist())])
-    return np.unique(place, return_index=True)[1], place
-
-
-def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: its 8-byte pieces, mixed one after the other."""
-    size = end - start
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    pieces = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    h = mix(size.astype(np.uint64))
-    open_ = np.arange(len(start))
-    done = 0
-    while len(open_):
-        at, left = start[open_] + done, size[open_] - done
-        for lo in range(0, len(open_), HASH_BYTES):
-            part = slice(lo, lo + HASH_BYTES)
-            word = np.ascontiguousarray(pieces[at[part]]).view("<u8").ravel()
-            short = left[part] < 8
-            word[short] &= (np.uint64(1) << (8 * left[part][short]).astype(np.uint64)) - np.uint64(1)
-            h[open_[part]] = mix(h[open_[part]] * np.uint64(0x9E3779B97F4A7C15) + word)
-        done += 8
-        open_ = open_[size[open_] > done]
-    return h
-
-
-#: One encoder for a worker process; its words serve one task.
+#: One encoder for a worker process.
 _ENCODERS: dict[str, RoundEncoder] = {}
 
 
@@ -310,20 +216,17 @@ def _write_task(path: str, end_id: int, segment_ids: int) -> Callable:
                 kept.clear()
             return pa.RecordBatch.from_arrays(row, [x.split()[0] for x in _SEGMENTS.split(", ")])
 
-        try:
-            for batch in batches:
-                for lo, hi, data, offsets in text_slices(batch.column(1), ROUND_BYTES):
-                    found, per_doc = encoder.encode(data, offsets, end_id)
-                    if held and held + len(found) > segment_ids:
-                        yield close()
-                    ids.append(found)
-                    counts.append(per_doc)
-                    names.append(batch.column(0).slice(lo, hi - lo))
-                    held += len(found)
-            if held:
-                yield close()
-        finally:
-            encoder.forget()
+        for batch in batches:
+            for lo, hi, data, offsets in text_slices(batch.column(1), ROUND_BYTES):
+                found, per_doc = encoder.encode(data, offsets, end_id)
+                if held and held + len(found) > segment_ids:
+                    yield close()
+                ids.append(found)
+                counts.append(per_doc)
+                names.append(batch.column(0).slice(lo, hi - lo))
+                held += len(found)
+        if held:
+            yield close()
 
     return run
 
@@ -350,7 +253,8 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     blocks = blocks.select("block", (F.sum("ids").over(Window.orderBy("block")) - F.col("ids")).alias("at_block"))
     placed = ranges.withColumn("block", block).withColumn("at", F.sum("ids").over(Window.partitionBy("block").orderBy("part")) - F.col("ids")).join(blocks, "block")
     starts = within.join(placed.select("part", (F.col("at") + F.col("at_block")).alias("at_part")), "part").select("part", "segment", (F.col("at_part") + F.col("before")).alias("start"))
-    return found.join(starts, ["part", "segment"])
+    small = found.select("part").count() * START_BYTES <= BROADCAST_BYTES  # then the payloads stay where they are
+    return found.join(F.broadcast(starts) if small else starts.hint("merge"), ["part", "segment"])
 
 
 def _read_task(schema: str, make: Callable) -> Callable:

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm import tokenbin
+from tessera.llm import merges, tokenbin
 from tessera.llm.bpe import default_tokenizer_path
 
 ODD = [
@@ -72,12 +72,44 @@ def test_rounds_equal_the_library(texts):
 
 def _encoder(kept=[]):
     if not kept:
-        kept.append(tokenbin.RoundEncoder(default_tokenizer_path(), words_bytes=20_000))
+        kept.append(tokenbin.RoundEncoder(default_tokenizer_path()))
     return kept[0]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abcdeinrstABCßéÉàÀöÖÿ×÷œ0123.,-!%$()"), min_size=1, max_size=24), min_size=1, max_size=12))
+def test_merges_equal_the_library(words):
+    encoder = _encoder()
+    assert encoder.words.merges is not None
+    raw = " ".join(words).encode()
+    ids, _ = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 2)
+    assert ids.tolist() == [*encoder.tokenizer.encode(raw.decode(), add_special_tokens=False).ids, 2]
+
+
+def test_merges_of_all_words_of_the_table(spark, sf01):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf01}/documents.parquet").select("text").collect()]
+    words = sorted({w for t in texts for w in t.split()})
+    raw = "\n".join(words).encode()
+    encoder = _encoder()
+    ids, _ = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 2)
+    got = [i for e in encoder.tokenizer.encode_batch_fast(words, add_special_tokens=False) for i in e.ids]
+    assert ids.tolist() == [*got, 2] and len(words) > 10_000
+
+
+def test_other_tokenizers_use_the_library(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    own = Tokenizer(models.WordLevel({"Hello": 0, "a": 1, "[U]": 2}, unk_token="[U]"))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    own.save(path := str(tmp_path / "own.json"))
+    encoder = tokenbin.RoundEncoder(path)
+    raw = b"Hello a hello a"
+    ids, counts = encoder.encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 2)
+    assert encoder.words.merges is None and ids.tolist() == [0, 1, 2, 1, 2] and counts.tolist() == [5]
+
+
 def test_words_that_share_a_hash(monkeypatch):
-    monkeypatch.setattr(tokenbin, "_word_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    monkeypatch.setattr(merges, "_word_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
     raw = b"the cat sat on the mat"
     ids, _ = _encoder().encode(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 2)
     assert ids.tolist() == [*_encoder().tokenizer.encode(raw.decode(), add_special_tokens=False).ids, 2]
