@@ -75,3 +75,16 @@ def test_linear_in_long_runs():
     for run in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1" * 100_000, "1 " * 150_000, "+1 " + "." * 300_000, "A" * 300_000, "AB12" * 50_000):
         pii.spans(run)
     assert time.time() - began < 20
+
+
+def test_account_numbers_of_known_countries():
+    def number(country, body):
+        check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+        return f"{country}{check:02d}{body}"
+
+    right = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", number("NO", "86011117947"), number("XK", "1212012345678906")]
+    wrong = [number("XX", "12345678901234"), number("DE", "3704004405320130"), number("NO", "860111179470000"), "DE88370400440532013000"]
+    for text in right:
+        assert [f[0] for f in pii.spans(f"pay to {text}.") if f[0] == "iban"] == ["iban"]
+    for text in wrong:
+        assert not [f for f in pii.spans(f"bank account {text}.") if f[0] == "iban"]
