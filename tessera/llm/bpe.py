@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import table, text_slices, trimmed
+from tessera.llm.merges import WordEncoder
 
 WINDOW = 16
 CHUNK_BITS = 9  # cuts lie 512 bytes apart on average
@@ -104,7 +105,7 @@ class Encoder:
         self.lowers, self.splits_stops = check_tokenizer(self.tokenizer)
         top = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.token = [(self.tokenizer.id_to_token(i) or "").encode() + b" " for i in range(top)]
-        self.ends = np.array([t.endswith(b"</w> ") for t in self.token])
+        self.distinct = WordEncoder(self.tokenizer, self.lowers)
         self.chunk_limit, self.word_limit = chunk_bytes, word_bytes
         self.forget()
 
@@ -116,30 +117,16 @@ class Encoder:
         self.word_size = self.chunk_size = 0
 
     def _learn(self, new: set[bytes]) -> None:
-        """Encode words that the cache lacks, each on its own."""
-        texts = {w: w.decode("utf-8", "replace") for w in new}
-        plain = [w for w, t in texts.items() if t.isalpha()]
-        if plain and self._learn_plain(plain, " ".join([texts[w] for w in plain])):
-            for w in plain:
-                del texts[w]
-        token, known = self.token, self.words
-        for w, e in zip(texts, self.tokenizer.encode_batch_fast(list(texts.values()), add_special_tokens=False)):
-            known[w] = (np.asarray(e.ids, "<u4").tobytes(), b"".join([token[i] for i in e.ids]))
-
-    def _learn_plain(self, words: list[bytes], line: str) -> bool:
-        """Encode words of letters only in one call, and split the ids after
-        each token that ends a word. False (nothing learnt) if a word was
-        split in more than one, as a letter may be on lower-casing."""
-        ids = np.asarray(self.tokenizer.encode(line, add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words):
-            return False
-        raw, token, lo = ids.tobytes(), self.token, 0
-        each = ids.tolist()
-        for w, hi in zip(words, ends.tolist()):
-            self.words[w] = (raw[4 * lo : 4 * hi], b"".join([token[i] for i in each[lo:hi]]))
-            lo = hi
-        return True
+        """Encode words that the cache lacks."""
+        if not new:
+            return
+        words, token, known = list(new), self.token, self.words
+        size = np.array([len(w) for w in words], np.int64)
+        ids, counts = self.distinct.encode(np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+        raw, each, lo = ids.astype("<u4").tobytes(), ids.tolist(), 0
+        for w, n in zip(words, counts.tolist()):
+            known[w] = (raw[4 * lo : 4 * (lo + n)], b"".join([token[i] for i in each[lo : lo + n]]))
+            lo += n
 
     def _encode_words(self, words: list[bytes]) -> tuple[bytes, bytes]:
         got = [self.words[w] for w in words]
